@@ -204,8 +204,9 @@ def claim_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'ACH' AS pay_method",
         "cast(NULL AS string) AS payee_name",
         "cast(NULL AS string) AS ro_number",
-        "cast(NULL AS string) AS agent_number",
-        "cast(NULL AS string) AS agent_name_spaced",
+        "CASE WHEN number <= 2 THEN concat('NATION_', l_suppkey % 25) END AS agent_number",
+        "CASE WHEN number <= 2 THEN concat('NATION_', l_suppkey % 25, ' Agency') END"
+        " AS agent_name_spaced",
         "cast(NULL AS string) AS agent_name_joined",
         "CASE WHEN l_linestatus = 'F' THEN concat('S', l_suppkey) END AS dealer_number_text",
         "CASE WHEN l_linestatus = 'F' THEN concat('Shop ', l_suppkey) END AS selling_dealer_name",
