@@ -68,7 +68,7 @@ cte("comp", [], """
                 THEN CASE WHEN l_linestatus = 'F' THEN 'BASERESERVE' ELSE 'BASEADMIN' END
             WHEN l_linenumber % 3 = 0 THEN 'DEALERCOMM'
             WHEN l_linenumber % 3 = 1 THEN 'ADMIN' ELSE 'SURCHARGE' END AS comp,
-        CAST(sum(CAST(l_extendedprice * (1 - l_discount) / 100 AS DECIMAL(18,2)))
+        CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 0.01 AS DECIMAL(18,2)))
             AS DECIMAL(18,2)) AS amt
     FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2, 3""")
 
@@ -194,7 +194,7 @@ cte("craw", [], """
             AS claim_number,
         CASE WHEN l_orderkey % 101 = 0 THEN '' ELSE 'C' || l_orderkey END AS cnum,
         CAST(CASE WHEN l_linenumber = 7 THEN -1 ELSE 1 END
-            * CAST(l_extendedprice * (1 - l_discount) / 200 AS DECIMAL(18,2)) AS DECIMAL(18,4))
+            * CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 0.005 AS DECIMAL(18,2)) AS DECIMAL(18,4))
             AS paid,
         CASE WHEN l_quantity < 3 THEN 'Open' ELSE 'Paid' END AS status,
         CASE WHEN l_orderkey % 113 <> 0 THEN CAST(l_shipdate AS DATE) END AS activity,
@@ -506,9 +506,9 @@ cte("prc", [], """
         lpad(CAST(c_custkey * 37 % 100000 AS VARCHAR), 5, '0') AS zip,
         p_type || '-' || l_partkey % 9 AS code, p_type AS ptype,
         CASE WHEN l_discount = 0 THEN 0
-            ELSE CAST(l_extendedprice * l_discount AS DECIMAL(18,2)) END AS markup,
+            ELSE CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) END AS markup,
         CAST(l_extendedprice AS DECIMAL(18,2)) AS retail,
-        CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,2)) AS net
+        CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS net
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 cte("pr", ["prc"], """
@@ -612,7 +612,7 @@ ORACLE["component_exclusions"] = f"""
     FROM (SELECT CASE WHEN l_linestatus = 'F' THEN 'RESERVE' ELSE 'ADMIN' END AS cat,
         ['DEALERCOMM', 'ADMIN', 'SURCHARGE', 'CLIPFEE', 'PREMTAX', 'OEM TRANSPORT 1', 'LOANPMT',
             'F&I FEE', 'roadside akmc x', 'BASE'][CAST(l_orderkey % 10 + 1 AS INTEGER)] AS name,
-        CAST(l_extendedprice * (1 - l_discount) / 100 AS DECIMAL(18,2)) AS amt
+        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * 0.01 AS DECIMAL(18,2)) AS amt
         FROM lineitem WHERE l_returnflag <> 'R') GROUP BY 1, 2, cat, name"""
 
 cte("txc", ["tx", "comp"], """

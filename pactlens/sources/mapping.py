@@ -24,6 +24,11 @@ CONFIG = ReportConfig(
     entity_aliases=(("nation_3", "nation_3 agency"),),
 )
 
+# exact products of prices and discounts, so that every engine rounds the same number
+_PRICE, _DISCOUNT = "cast(l_extendedprice AS decimal(12,2))", "cast(l_discount AS decimal(4,2))"
+NET_PRICE = f"{_PRICE} * (1 - {_DISCOUNT})"
+MARKUP = f"{_PRICE} * {_DISCOUNT}"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,7 +54,7 @@ def line_components(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CASE WHEN l_returnflag = 'A' THEN if(l_linestatus = 'F', 'BASERESERVE', 'BASEADMIN')"
             " ELSE CASE l_linenumber % 3 WHEN 0 THEN 'DEALERCOMM' WHEN 1 THEN 'ADMIN'"
             " ELSE 'SURCHARGE' END END AS component",
-            "cast(l_extendedprice * (1 - l_discount) / 100 AS decimal(18,2)) AS amount",
+            f"cast({NET_PRICE} * 0.01 AS decimal(18,2)) AS amount",
         )
     )
 
@@ -183,7 +188,7 @@ def claim_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_orderkey AS key",
             "l_linenumber AS number",
             "cast(l_shipdate AS date) AS shipped",
-            "cast(l_extendedprice * (1 - l_discount) / 200 AS decimal(18,2)) AS paid",
+            f"cast({NET_PRICE} * 0.005 AS decimal(18,2)) AS paid",
         )
         .selectExpr("*", "explode(sequence(0, number % 3)) AS j")
     )
@@ -247,10 +252,9 @@ def pricing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(p_type, '-', l_partkey % 9) AS coverage_code",
         "p_type AS coverage_name",
         "p_type AS product_type",
-        "CASE WHEN l_discount = 0 THEN '0.00' ELSE"
-        " cast(cast(l_extendedprice * l_discount AS decimal(18,2)) AS string) END AS markup",
+        f"CASE WHEN l_discount = 0 THEN '0.00' ELSE cast({MARKUP} AS string) END AS markup",
         "cast(cast(l_extendedprice AS decimal(18,2)) AS string) AS retail",
-        "cast(cast(l_extendedprice * (1 - l_discount) AS decimal(18,2)) AS string) AS net",
+        f"cast({NET_PRICE} AS string) AS net",
     )
 
 

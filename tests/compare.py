@@ -45,8 +45,9 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, statement: str) -> lis
     found = []
     if len(left) != len(right):
         found.append(f"{len(left)} rows against {len(right)}")
-    only_left = [r for r in left if r not in set(right)]
-    only_right = [r for r in right if r not in set(left)]
+    in_left, in_right = set(left), set(right)
+    only_left = [r for r in left if r not in in_right]
+    only_right = [r for r in right if r not in in_left]
     for a, b in list(zip(only_left, only_right, strict=False))[:3]:
         parts = [f"{c}: {x!r} / {y!r}" for c, x, y in zip(left_cols, a, b, strict=True) if x != y]
         found.append(f"{len(only_left)} differ, such as {dict(zip(left_cols, a))}: {', '.join(parts)}")
