@@ -19,22 +19,25 @@ AGENT_LABEL = (
     + f", ')') ELSE {s.or_else('agent', s.quoted(s.NO_AGENT))} END"
 )
 
-_SEVERITIES = [
-    F.expr("count_if(severity = 'Error') AS errors"),
-    F.expr("count_if(severity = 'Warning') AS warnings"),
-    F.expr("count_if(severity IN ('Error', 'Warning')) AS total"),
-]
+
+
+def _severities():
+    return [
+        F.expr("count_if(severity = 'Error') AS errors"),
+        F.expr("count_if(severity = 'Warning') AS warnings"),
+        F.expr("count_if(severity IN ('Error', 'Warning')) AS total"),
+    ]
 
 
 def issues_by_category(issues: DataFrame) -> DataFrame:
     key = s.or_else("category", "'Uncategorized'")
-    return issues.groupBy(F.expr(key).alias("category")).agg(*_SEVERITIES)
+    return issues.groupBy(F.expr(key).alias("category")).agg(*_severities())
 
 
 def issues_by_agent(issues: DataFrame, limit: int = 15) -> DataFrame:
     return (
         issues.groupBy(F.expr(AGENT_LABEL).alias("agent_label"))
-        .agg(*_SEVERITIES)
+        .agg(*_severities())
         .orderBy(*ordered("total DESC", "agent_label ASC"))
         .limit(limit)
     )
