@@ -16,7 +16,7 @@ ADMIN_NAMES = ["ROADSIDEADMIN", "OTHERCOMM", "PREMTAX", "AGENTNCB"]
 ADMIN_PARTS = ["ROADSIDE AKMC"]
 
 
-def _named(value: str, names: list[str], parts: list[str]) -> str:
+def named(value: str, names: list[str], parts: list[str]) -> str:
     """Whether an upper-cased, trimmed value equals one of the names or holds one of the parts."""
     upper = f"upper(trim({value}))"
     held = "|".join(re.escape(p) for p in parts).replace("\\", "\\\\")
@@ -24,75 +24,80 @@ def _named(value: str, names: list[str], parts: list[str]) -> str:
     return f"({by_part} OR {upper} IN ({quoted(*names)}))" if names else f"({by_part})"
 
 
+def _common(value: str, cfg: ReportConfig) -> str:
+    return named(value, COMMON_NAMES + list(cfg.excluded_component_codes), COMMON_PARTS)
+
+
+_SPECIFIC = {"RESERVE": (RESERVE_NAMES, RESERVE_PARTS), "ADMIN": (ADMIN_NAMES, ADMIN_PARTS)}
+
+
 def excluded_component(name: str, category: str, cfg: ReportConfig) -> str:
     """True for components left out of the ADMIN or RESERVE amount."""
-    names, parts = {
-        "RESERVE": (RESERVE_NAMES, RESERVE_PARTS),
-        "ADMIN": (ADMIN_NAMES, ADMIN_PARTS),
-    }[category]
-    own = list(cfg.excluded_component_codes)
-    return _named(name, COMMON_NAMES + own + names, COMMON_PARTS + parts)
+    return f"({_common(name, cfg)} OR {named(name, *_SPECIFIC[category])})"
 
 
 def gross_income_excluded(category: str, name: str, cfg: ReportConfig) -> str:
     """True for components left out of gross income, by their own or their category's name."""
-    own = list(cfg.excluded_component_codes)
-    by_category = _named(category, [], COMMON_PARTS)
-    return f"({by_category} OR {_named(name, COMMON_NAMES + own, COMMON_PARTS)})"
+    return f"({named(category, [], COMMON_PARTS)} OR {_common(name, cfg)})"
 
 
-def _total(entries: str, amount: str) -> str:
+def total(entries: str, amount: str) -> str:
+    """Sum of ``amount``, an expression in ``e``, over an array; 0 if there is none."""
     zero = f"cast(0 AS {MONEY})"
     return (
         f"coalesce(aggregate({entries}, {zero}, (acc, e) -> cast(acc + {amount} AS {MONEY})), {zero})"
     )
 
 
-def category_entries(container: str, category: str) -> str:
-    """Entries of the first category of that name, whatever its case and padding."""
+def cells(container: str, cfg: ReportConfig) -> str:
+    """All amounts of a container as one array, each parsed and judged once.
+
+    ``ordinal`` is the place of the category, ``is_common`` the exclusion all sums share.
+    """
     return (
-        f"map_entries(get(filter(map_entries({container}),"
-        f" c -> upper(trim(c.key)) = '{category}'), 0).value)"
+        f"flatten(transform(map_entries({container}), (c, i) -> transform("
+        f"coalesce(map_entries(c.value), array()), e -> named_struct('ordinal', i,"
+        f" 'category', upper(c.key), 'component', e.key, 'amount', {lenient_number('e.value')},"
+        f" 'is_common', {_common('e.key', cfg)}))))"
     )
 
 
-def included_amount(container: str, category: str, cfg: ReportConfig) -> str:
+def category_place(container: str, category: str) -> str:
+    """Place of the first category of that name, whatever its case and padding; -1 if none."""
+    return (
+        f"array_position(transform(map_keys({container}), k -> upper(trim(k))), '{category}') - 1"
+    )
+
+
+def included_amount(cells_: str, category: str, places: dict[str, str]) -> str:
     """ADMIN or RESERVE amount. ADMIN of the RESERVE category is always an ADMIN amount."""
     kept = (
-        f"filter({category_entries(container, category)},"
-        f" f -> NOT {excluded_component('f.key', category, cfg)})"
+        f"f.ordinal = {places[category]} AND NOT f.is_common"
+        f" AND NOT {named('f.component', *_SPECIFIC[category])}"
     )
-    total = _total(kept, lenient_number("e.value"))
     if category == "ADMIN":
-        moved = (
-            f"filter({category_entries(container, 'RESERVE')}, f -> upper(trim(f.key)) = 'ADMIN')"
-        )
-        total = f"{total} + {_total(moved, lenient_number('e.value'))}"
-    return f"cast({total} AS {MONEY})"
+        kept = f"({kept}) OR (f.ordinal = {places['RESERVE']} AND upper(trim(f.component)) = 'ADMIN')"
+    return total(f"filter({cells_}, f -> {kept})", "e.amount")
 
 
-def gross_income(container: str, cfg: ReportConfig) -> str:
+def gross_income(cells_: str) -> str:
     """Sum of every component of every category that is not excluded."""
-    kept = f"filter(map_entries(v), f -> NOT {gross_income_excluded('k', 'f.key', cfg)})"
-    per_category = f"map_values(transform_values({container}, (k, v) -> {_total(kept, lenient_number('e.value'))}))"
-    return _total(per_category, "e")
+    kept = f"NOT f.is_common AND NOT {named('f.category', [], COMMON_PARTS)}"
+    return total(f"filter({cells_}, f -> {kept})", "e.amount")
 
 
-def component_list(container: str) -> str:
+def component_list(container: str, cells_: str) -> str:
     """Cleaned components as ``array<struct<category, component, amount>>``.
 
-    Categories are upper-cased; of two spellings of one category the later value counts.
+    Of two spellings of one category the later value counts.
     """
-    flat = (
-        f"flatten(transform(map_entries({container}), c -> transform("
-        f"coalesce(map_entries(c.value), array()), e -> named_struct('category', upper(c.key),"
-        f" 'component', e.key, 'amount', {lenient_number('e.value')}))))"
-    )
     names = f"transform(map_keys({container}), n -> upper(n))"
     last_only = (
-        f"filter({flat}, (e, i) -> NOT exists(slice({flat}, i + 2, 1000000),"
+        f"filter({cells_}, (e, i) -> NOT exists(slice({cells_}, i + 2, 1000000),"
         f" o -> o.category = e.category AND o.component = e.component))"
     )
     return (
-        f"CASE WHEN size(array_distinct({names})) = size({names}) THEN {flat} ELSE {last_only} END"
+        f"transform(CASE WHEN size(array_distinct({names})) = size({names}) THEN {cells_}"
+        f" ELSE {last_only} END, e -> named_struct('category', e.category,"
+        f" 'component', e.component, 'amount', e.amount))"
     )

@@ -242,8 +242,8 @@ RAW_RESERVE_PARTS = ["PREMIUM TAX", "CEEDING", "CEDING", "CLIP FEE"]
 
 def raw_net_reserve(raw: DataFrame, dealer_number: str, before: date) -> DataFrame:
     """Net reserve of one dealer from its raw documents dated before a day."""
-    out = comp._named("f.key", RAW_RESERVE_NAMES, comp.COMMON_PARTS + RAW_RESERVE_PARTS)
-    amount = lambda side: comp._total(
+    out = comp.named("f.key", RAW_RESERVE_NAMES, comp.COMMON_PARTS + RAW_RESERVE_PARTS)
+    amount = lambda side: comp.total(
         f"filter(map_entries(try_element_at({side}, 'RESERVE')), f -> NOT {out})",
         s.lenient_number("e.value"),
     )
