@@ -217,7 +217,7 @@ def contract_lookup(ledger: DataFrame, fields: list[str] = NAMES) -> DataFrame:
 
 def written_lookup(ledger: DataFrame, fields: list[str] = NAMES) -> DataFrame:
     """Last row of any type but cancellation per contract number, blank numbers left out."""
-    numbered = ledger.where("w IS NOT NULL AND contract_number <> ''")
+    numbered = ledger.where("w.transaction_type IS NOT NULL AND contract_number <> ''")
     return numbered.selectExpr("contract_number", f"struct({_of_w(fields)}) AS found")
 
 

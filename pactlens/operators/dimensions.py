@@ -96,7 +96,8 @@ def _first_names(state: DataFrame) -> DataFrame:
     """First name listed for each value over all of its transactions."""
     def first(name: str) -> Column:
         sides = ", ".join(
-            f"CASE WHEN {x}.{name} <> '' THEN struct({x}_place AS place, {x}.{name} AS name) END"
+            f"CASE WHEN own_{x} AND {x}_{name} <> ''"
+            f" THEN struct({x}_place AS place, {x}_{name} AS name) END"
             for x in ("w", "k")
         )
         return F.expr(f"min(least({sides})).name AS first_{name}")
@@ -115,9 +116,9 @@ def _related(state: DataFrame, periods: DataFrame) -> DataFrame:
     number of partners it names.
     """
     sides = ", ".join(
-        f"CASE WHEN {x} IS NOT NULL THEN named_struct('day', {x}.activity_date, 'partner',"
-        f" CASE WHEN dim = 'dealer' THEN {x}.agent"
-        f" ELSE {s.or_else(f'{x}.dealer_name', f'{x}.dealer_number')} END) END"
+        f"CASE WHEN own_{x} THEN named_struct('day', {x}_activity_date, 'partner',"
+        f" CASE WHEN dim = 'dealer' THEN {x}_agent"
+        f" ELSE {s.or_else(f'{x}_dealer_name', f'{x}_dealer_number')} END) END"
         for x in ("w", "k")
     )
     pairs = (

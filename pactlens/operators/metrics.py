@@ -31,36 +31,45 @@ KPIS = [
 ]
 
 
+_SIDE = [
+    "snapshot_ts", "transaction_type", "contract_status", "activity_date", "admin_amount",
+    "reserve_amount", "gross_income_amount",
+]
+_EARNING = ["effective_date", "has_schedule", "earning_schedule"]
+
+
 def ledger_state(ledger: DataFrame, dims: list[str] = ()) -> DataFrame:
     """Flat state of each contract, once for each dimension value one of its sides carries.
 
     ``own_w`` and ``own_k`` tell which sides stand under the value. A contract that changed
     dealers between its written and its cancelled state thus stays open for the first dealer.
+    Fields are taken out of the sides one by one, so a scan reads no others.
     """
-    extra = []
+    names = dd.NAMES if dims else []
+    flat = ledger.selectExpr(
+        "contract_number = '' AS is_blank",
+        "w_place",
+        "k_place",
+        "w.transaction_type IS NOT NULL AS has_w",
+        "k.transaction_type IS NOT NULL AS has_k",
+        *[f"w.{f} AS w_{f}" for f in [*_SIDE, *_EARNING, *names]],
+        *[f"k.{f} AS k_{f}" for f in [*_SIDE, *names]],
+    )
     if dims:
         values = ", ".join(
-            f"CASE WHEN w IS NOT NULL THEN named_struct('dim', '{d}', 'dim_value', w.{d},"
-            f" 'own_w', true, 'own_k', k IS NOT NULL AND k.{d} = w.{d}) END,"
-            f" CASE WHEN k IS NOT NULL AND (w IS NULL OR k.{d} <> w.{d}) THEN"
-            f" named_struct('dim', '{d}', 'dim_value', k.{d}, 'own_w', false, 'own_k', true) END"
+            f"CASE WHEN has_w THEN named_struct('dim', '{d}', 'dim_value', w_{d},"
+            f" 'own_w', true, 'own_k', has_k AND k_{d} = w_{d}) END,"
+            f" CASE WHEN has_k AND (NOT has_w OR k_{d} <> w_{d}) THEN"
+            f" named_struct('dim', '{d}', 'dim_value', k_{d}, 'own_w', false, 'own_k', true) END"
             for d in dims
         )
-        extra = [f"inline(array_compact(array({values})))"]
+        owned = [f"inline(array_compact(array({values})))"]
     else:
-        extra = ["w IS NOT NULL AS own_w", "k IS NOT NULL AS own_k"]
-    return ledger.selectExpr(
-        "contract_number = '' AS is_blank",
-        "w", "k", "w_place", "k_place",
-        f"{dd.CANCEL_IS_LATEST} AS both_late",
-        *extra,
-    ).selectExpr(
-        *(["dim", "dim_value"] if dims else []),
-        "is_blank",
-        "CASE WHEN own_w THEN w END AS w",
-        "CASE WHEN own_k THEN k END AS k",
-        "w_place", "k_place",
-        "own_k AND (NOT own_w OR both_late) AS late",
+        owned = ["has_w AS own_w", "has_k AS own_k"]
+    return flat.selectExpr("*", *owned).selectExpr(
+        "*",
+        "own_k AND (NOT own_w OR k_snapshot_ts > w_snapshot_ts"
+        " OR (k_snapshot_ts = w_snapshot_ts AND k_place > w_place)) AS late",
     )
 
 
@@ -74,20 +83,20 @@ def contract_measures(state: DataFrame, periods: DataFrame, groups: list[str]) -
         *groups,
         "is_blank",
         "w_place",
-        "w.activity_date AS w_day",
-        "k.activity_date AS k_day",
-        "w.transaction_type <> 'Unknown' AS counts",
-        "w.admin_amount AS wa",
-        "w.reserve_amount AS wr",
-        "w.gross_income_amount AS wg",
-        "abs(k.admin_amount) AS ka",
-        "abs(k.reserve_amount) AS kr",
-        "abs(k.gross_income_amount) AS kg",
-        "w.effective_date AS effective",
-        "w.has_schedule AS has_schedule",
-        "w.earning_schedule AS schedule",
-        "NOT is_blank AND NOT late AND w.contract_status = 'A' AS is_active",
-        "NOT is_blank AND if(late, k.contract_status, w.contract_status) = 'E' AS is_expired",
+        "CASE WHEN own_w THEN w_activity_date END AS w_day",
+        "CASE WHEN own_k THEN k_activity_date END AS k_day",
+        "w_transaction_type <> 'Unknown' AS counts",
+        "w_admin_amount AS wa",
+        "w_reserve_amount AS wr",
+        "w_gross_income_amount AS wg",
+        "abs(k_admin_amount) AS ka",
+        "abs(k_reserve_amount) AS kr",
+        "abs(k_gross_income_amount) AS kg",
+        "w_effective_date AS effective",
+        "w_has_schedule AS has_schedule",
+        "w_earning_schedule AS schedule",
+        "NOT is_blank AND own_w AND NOT late AND w_contract_status = 'A' AS is_active",
+        "NOT is_blank AND if(late, k_contract_status, w_contract_status) = 'E' AS is_expired",
     )
     hit = flat.join(
         F.broadcast(periods),

@@ -76,7 +76,7 @@ class Report:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return dd.contract_transactions(self.ledger, self.cfg)
+        return self._keep(dd.contract_transactions(self.ledger, self.cfg), "transactions")
 
     @cached_property
     def claims(self) -> DataFrame:

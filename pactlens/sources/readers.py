@@ -40,11 +40,13 @@ def _document_id() -> Column:
     return F.coalesce(_string_at("$._id['$oid']"), _string_at("$._id"))
 
 
-def _arrival() -> Column:
-    """The document's own arrival number, else its place in the files."""
-    return F.coalesce(
-        F.try_variant_get("doc", "$.ingest_ord", "bigint"), F.monotonically_increasing_id()
-    )
+def _arrival(docs: DataFrame) -> Column:
+    """The document's own arrival number, else its place in the files.
+
+    Files that arrive over time have no common order; there only the document's number counts.
+    """
+    place = F.lit(0).cast("bigint") if docs.isStreaming else F.monotonically_increasing_id()
+    return F.coalesce(F.try_variant_get("doc", "$.ingest_ord", "bigint"), place)
 
 
 def _amounts(path: str) -> Column:
@@ -66,11 +68,12 @@ def _earning_curve() -> Column:
     )
 
 
-def _contract_documents(docs: DataFrame, feed: int) -> DataFrame:
+def contract_fields(docs: DataFrame, feed: int) -> DataFrame:
+    """Fields of contract (0) or cancellation (1) documents held as VARIANT in ``doc``."""
     return docs.select(
         F.lit(feed).alias("feed"),
         _document_id().alias("source_id"),
-        _arrival().alias("ingest_ord"),
+        _arrival(docs).alias("ingest_ord"),
         *[_string_at(*paths).alias(name) for name, paths in S.CONTRACT_PATHS.items()],
         F.array(*[_string_at(p) for p in S.CONTRACT_DATE_PATHS]).alias("extraction"),
         _amounts("$.WrittenAmount").alias("written"),
@@ -81,14 +84,14 @@ def _contract_documents(docs: DataFrame, feed: int) -> DataFrame:
 
 def read_contracts(spark: SparkSession, path: str, activated_from: date | None = None) -> DataFrame:
     """Contract documents, all of them unless a lower bound on the activation date is given."""
-    df = _contract_documents(_read_documents(spark, path), 0)
+    df = contract_fields(_read_documents(spark, path), 0)
     if activated_from is not None:
         df = df.where(f"{lenient_date('activation')} >= {sql_date(activated_from)}")
     return df
 
 
 def read_cancellations(spark: SparkSession, path: str) -> DataFrame:
-    return _contract_documents(_read_documents(spark, path), 1)
+    return contract_fields(_read_documents(spark, path), 1)
 
 
 def read_contract_feeds(spark: SparkSession, contracts: str, cancellations: str) -> DataFrame:
@@ -96,9 +99,14 @@ def read_contract_feeds(spark: SparkSession, contracts: str, cancellations: str)
 
 
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
-    return _read_documents(spark, path).select(
+    return claim_fields(_read_documents(spark, path))
+
+
+def claim_fields(docs: DataFrame) -> DataFrame:
+    """Fields of claim documents held as VARIANT in ``doc``."""
+    return docs.select(
         _document_id().alias("source_id"),
-        _arrival().alias("ingest_ord"),
+        _arrival(docs).alias("ingest_ord"),
         *[_string_at(*paths).alias(name) for name, paths in S.CLAIM_PATHS.items()],
         F.array(*[_string_at(p) for p in S.CLAIM_DATE_PATHS]).alias("extraction"),
     )
@@ -106,8 +114,9 @@ def read_claims(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pricing(spark: SparkSession, path: str) -> DataFrame:
     """Contract documents with the fields the pricing reports need."""
-    return _read_documents(spark, path).select(
-        _arrival().alias("ingest_ord"),
+    docs = _read_documents(spark, path)
+    return docs.select(
+        _arrival(docs).alias("ingest_ord"),
         *[_string_at(p).alias(name) for name, p in S.PRICING_PATHS.items()],
     )
 
