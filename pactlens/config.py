@@ -40,7 +40,7 @@ class ReportConfig:
     warning_loss_ratio: float = 0.75
     high_loss_ratio: float = 0.9
     excluded_component_codes: tuple[str, ...] = ()
-    # pairs of (code, name) that name the same agent
+    # fixed values: pairs of (code, name) that name the same agent
     entity_aliases: tuple[tuple[str, str], ...] = (("exw", "executive warranties"),)
     market_states: tuple[str, ...] = ("FL", "FLORIDA")
     market_zip_prefixes: tuple[str, ...] = ("32", "33", "34")

@@ -1434,3 +1434,52 @@ ORACLE["state_profile"] = sql(["sta"], f"""
     SELECT {n('count(*)')} AS documents, {r('greatest(max(markup), 0)')} AS max_markup,
         {r('greatest(max(retail - net), 0)')} AS max_margin
     FROM (SELECT * FROM sta ORDER BY ord, contract_no LIMIT 100)""")
+
+# ---- narratives
+
+_ONE = "printf('%.1f', {})"
+_YEARS = "CASE WHEN tenure_years = floor(tenure_years) THEN CAST(CAST(tenure_years AS BIGINT) AS VARCHAR) ELSE CAST(CAST(tenure_years AS DOUBLE) AS VARCHAR) END"
+_SINCE = "coalesce(strftime(first_date, '%m/%Y'), 'inception')"
+_INT = "format('{{:,}}', CAST({} AS BIGINT))"
+ORACLE["target_narratives"] = sql(["summ"], f"""
+    SELECT 'agent' AS dim, v AS dim_value, display_name || ' (' || v
+        || ') records an Inception-to-Date Earned Loss Ratio of ' || {_ONE.format('itd_lr * 100')}
+        || '% on $' || {_USD.format('itd_earned')} || ' earned reserve and $'
+        || {_USD.format('itd_claims')} || ' paid claims. Rolling 12-month volume is '
+        || {_INT.format('rolling_contracts')} || ' written contracts at a '
+        || {_ONE.format('rolling_lr * 100')} || '% loss ratio. '
+        || CASE WHEN maturity = 'Seasoned' THEN 'Operating for ' || {_YEARS} || ' years (active since '
+            || {_SINCE} || ') with ' || {_INT.format('itd_contracts')} || ' contracts and '
+            || {_ONE.format('pe')} || '% of reserves earned, Inception-to-Date experience carries high statistical credibility and '
+            || CASE WHEN itd_lr > 0.75
+                THEN 'represents seasoned adverse underwriting experience warranting review.'
+                ELSE 'represents seasoned, stable underwriting performance.' END
+        ELSE 'Operating for ' || {_YEARS} || ' years (' || tenure_months || ' months since ' || {_SINCE}
+            || ') with only ' || {_ONE.format('pe')} || '% of reserves earned ($'
+            || {_USD.format('unearned')} || ' unearned), Inception-to-Date loss ratios reflect early-cohort timing volatility rather than seasoned performance.' END
+        || CASE WHEN losing IS NOT NULL AND winning IS NOT NULL
+            THEN ' Cross-subsidization is evident: ''' || losing
+                || ''' operates in an underwriting deficit of -$' || {_USD.format('-losing_profit')}
+                || ' (' || coalesce({_ONE.format('losing_lr * 100')} || '%', 'N/A')
+                || ' loss ratio), masked and subsidized by surplus in ''' || winning || ''' (+$'
+                || {_USD.format('winning_profit')} || ').' ELSE '' END
+        || CASE WHEN top_code IS NOT NULL THEN ' Primary claim exposure is ' || top_code || ' ($'
+            || {_USD.format('top_amount')} || ' paid).' ELSE '' END AS narrative
+    FROM summ""")
+ORACLE["portfolio_narrative"] = sql(["a_all", "agx"], f"""
+    SELECT 'Sample Protection''s portfolio maintains an Inception-to-Date Earned Loss Ratio of '
+        || {_ONE.format('i.earned_loss_ratio * 100')} || '% across '
+        || {_INT.format('i.contracts_written')}
+        || ' contracts, with cumulative underwriting profit standing at $'
+        || {_USD.format('i.underwriting_profit')}
+        || '. Over the rolling 12 months, written volume totaled '
+        || {_INT.format('x.contracts_written')} || ' contracts at a '
+        || {_ONE.format('x.earned_loss_ratio * 100')} || '% loss ratio ('
+        || CASE WHEN x.earned_loss_ratio > i.earned_loss_ratio THEN 'above' ELSE 'below' END
+        || ' inception levels), generating $' || {_USD.format('x.underwriting_profit')}
+        || ' in rolling underwriting profit.'
+        || coalesce((SELECT ' Primary seasoned loss variance is driven by ' || display_name || ' ('
+            || {_ONE.format('lr * 100')} || '% loss ratio on $' || {_USD.format('claims_paid')}
+            || ' claims).' FROM agx ORDER BY lr DESC, net_admin DESC, net_reserve DESC, v LIMIT 1), '')
+        AS narrative
+    FROM a_all i, a_all x WHERE i.period_id = 'inception' AND x.period_id = 'rolling12'""")

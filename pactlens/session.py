@@ -19,6 +19,8 @@ _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64kb",
 }
 
+_local_dirs: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings. Sizing (cores, memory, shuffle partitions) is left to the caller."""
@@ -38,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="pactlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="pactlens-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
