@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pactlens.llm import exact
+from pactlens.llm import exact, neardup, substring
 from pactlens.llm.common import table
 
 
@@ -13,8 +13,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_report(table(spark, sf_dir, "documents"))
+
+
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_minhash_dedup": op8_minhash_dedup,
 }
 
 ORACLE = {
