@@ -10,9 +10,14 @@ coordinates estimates the Jaccard similarity with bounds as tight as for indepen
 Bands of ``ROWS_A_BAND`` coordinates give buckets. At similarity 0.8 a pair misses all 40 buckets
 with probability (1 - 0.8**6)**40 = 5e-6. Equal sets (128-bit hash of the set) become one node first.
 Then links are confirmed on full sets, in three passes that never list all pairs of a bucket:
- 1. every node of a bucket against the bucket's smallest node;
- 2. nodes whose component differs from that of a randomly chosen node of the bucket, against it;
- 3. in buckets that still hold several components, the pairs of different components.
+ 1. every node of a bucket against the bucket's smallest node, its centre;
+ 2. the nodes of a bucket that are not in its centre's component (strays) against one of them;
+ 3. what strays are left against the other components of the bucket, pruned by an exact bound. Let
+    s be the number of shingles that a node shares with the centre. Two nodes share at most the
+    smaller s, plus the shingles both have beside the centre's. Pairs that share some of the latter
+    are found and counted by a join on these; pairs that share none must reach the limit by the
+    smaller s alone, which leaves a narrow range of set sizes to look in. Only pairs whose bound
+    reaches the limit are confirmed.
 Two nodes of one component need no test, so the components are those of all confirmed candidates.
 
 Rows: null or blank texts have an empty set, link with nothing and stay; a null doc_id has no
@@ -33,7 +38,7 @@ from pactlens.llm.graph import components
 
 BANDS, ROWS_A_BAND = 40, 6
 COORDINATES = BANDS * ROWS_A_BAND
-MEMBERS_A_SLICE = 400
+MEMBERS_A_PART = 400
 
 _FREE = np.iinfo(np.int64).max
 _SEEDS = c.splitmix(2 * COORDINATES, 101)
@@ -117,39 +122,63 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
-def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a (centre, slice) arrive together, the centre's own text first."""
-    group, own = None, None
+def _against_centre(batches: Iterator[pa.RecordBatch], details: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of a (centre, part) arrive together, the centre's own text first.
+
+    Gives the links (a, b), or for every member its size, its shingles shared with the centre and
+    the others.
+    """
+    group, own = None, np.zeros(0, np.uint64)
     for batch in batches:
         keys = list(zip(batch.column("centre").to_pylist(), batch.column("part").to_pylist(), strict=True))
         first = batch.column("first").to_pylist()
         ids = batch.column("doc_id").to_pylist()
         raw, offsets = c.buffers(batch.column("text"))
-        a, b = [], []
         for i, j, part, at in c.slices(raw, offsets):
             flat, bounds = shingle_sets(part, at)
+            nodes, centres, sizes, common, others = [], [], [], [], []
             for k in range(i, j):
                 mine = flat[bounds[k - i] : bounds[k - i + 1]]
                 if first[k]:
                     own = mine if group != keys[k] else np.union1d(own, mine)
                     group = keys[k]
-                elif group == keys[k]:
+                elif group == keys[k] and len(own) and len(mine):
                     places = np.minimum(np.searchsorted(own, mine), len(own) - 1)
-                    shared = int((own[places] == mine).sum()) if len(own) else 0
-                    if shared and 100 * shared >= 80 * (len(own) + len(mine) - shared):
-                        a.append(ids[k])
-                        b.append(keys[k][0])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    there = own[places] == mine
+                    shared = int(there.sum())
+                    if details or 100 * shared >= 80 * (len(own) + len(mine) - shared):
+                        nodes.append(ids[k])
+                        centres.append(keys[k][0])
+                        sizes.append(len(mine))
+                        common.append(shared)
+                        others.append(c.signed(mine[~there]) if details else None)
+            ends = [pa.array(nodes, pa.int64()), pa.array(centres, pa.int64())]
+            if not details:
+                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+            else:
+                more = [pa.array(sizes, pa.int64()), pa.array(common, pa.int64())]
+                rest = pa.array(others, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*ends, *more, rest], names=["node", "centre", "size", "common", "rest"]
+                )
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (node, centre) whose full sets are similar enough, as edges (a, b).
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _against_centre(batches, False)
+
 
-    Texts are sent to their centres. A centre with many members gets several slices of them, each
-    with a copy of the centre's text, so no task holds more than one set and a stream of texts.
+def _details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _against_centre(batches, True)
+
+
+def _routed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Texts sent to the centres of the pairs (node, centre), each centre's own text first.
+
+    A centre with many members gets several parts of them, each with a copy of the centre's text,
+    so no task holds more than one set and a stream of texts.
     """
     sizes = pairs.groupBy("centre").agg(
-        F.expr(f"cast(ceil(count(*) / {MEMBERS_A_SLICE}) AS int)").alias("parts")
+        F.expr(f"cast(ceil(count(*) / {MEMBERS_A_PART}) AS int)").alias("parts")
     )
     members = pairs.join(sizes, "centre").select(
         F.col("node").alias("doc_id"),
@@ -169,10 +198,74 @@ def _confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
         .repartition("centre", "part")
         .sortWithinPartitions("centre", "part", F.desc("first"))
         .select("centre", "part", "first", "doc_id", "text")
-        .mapInArrow(_confirm_batches, "a long, b long")
     )
 
 
+def _confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (node, centre) whose full sets are similar enough, as edges (a, b)."""
+    return _routed(texts, pairs).mapInArrow(_links, "a long, b long")
+
+
+def _reaches(shared: str) -> str:
+    return f"100 * ({shared}) >= 80 * (size + other_size - ({shared}))"
+
+
+def _pairs_of_strays(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """Pairs (node, other) of a stray and a node of another component that can reach the limit.
+
+    ``marked``: bucket, node, centre, component, stray of the buckets that have strays.
+    """
+    nodes = c.kept_table(
+        marked.where("node <> centre")
+        .groupBy("node", "centre", "component")
+        .agg(F.max("stray").alias("stray")),
+        "compared",
+    )
+    known = c.kept_table(
+        _routed(texts, nodes.select("node", "centre"))
+        .mapInArrow(_details, "node long, centre long, size long, common long, rest array<long>")
+        .join(nodes, ["node", "centre"]),
+        "details",
+    )
+
+    def other(df: DataFrame, *names: str) -> DataFrame:
+        return df.select("centre", *[F.col(n).alias(f"other_{n}") for n in names])
+
+    strays = known.where("stray")
+    per_shingle = strays.select("centre", "node", "size", "common", "component", F.explode("rest").alias("shingle"))
+    of_others = known.select(
+        "centre",
+        F.explode("rest").alias("shingle"),
+        *[F.col(n).alias(f"other_{n}") for n in ("node", "size", "common", "component")],
+    )
+    both = (
+        per_shingle.join(of_others, ["centre", "shingle"])
+        .where("component <> other_component")
+        .groupBy("centre", "node", "other_node", "size", "other_size", "common", "other_common")
+        .agg(F.count("*").alias("beside"))
+        .where(_reaches("least(common, other_common) + beside"))
+        .select("node", F.col("other_node").alias("other"))
+    )
+    # 1.8 * common >= 0.8 * (size + other_size) bounds the other's size from above, 0.8 from below
+    step = "cast(floor(ln({}) / ln(1.03D)) AS int)"
+    ranges = strays.selectExpr(
+        "centre", "node", "size", "common", "component",
+        f"{step.format('greatest(1D, 0.8D * size)')} AS low",
+        f"{step.format('greatest(1D, 2.25D * common - size)')} AS high",
+    ).where("low <= high")
+    ranges = ranges.withColumn("step", F.explode(F.sequence("low", "high")))
+    sized = other(known, "node", "size", "common", "component").withColumn(
+        "step", F.expr(step.format("greatest(1L, other_size)"))
+    )
+    plain = (
+        ranges.join(sized, ["centre", "step"])
+        .where("component <> other_component")
+        .where(_reaches("least(common, other_common)"))
+        .select("node", F.col("other_node").alias("other"))
+    )
+    return both.unionByName(plain)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     texts = c.pick(docs, "doc_id", "text")
@@ -208,35 +301,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = c.kept_table(components(edges), "labels-1")
 
     for step in (2, 3):
-        marked = placed.join(labels, "node", "left").select(
-            "bucket", "node", "n_shingles", F.coalesce("component", "node").alias("component")
+        of_centres = labels.select(F.col("node").alias("centre"), F.col("component").alias("main"))
+        marked = c.kept_table(
+            placed.join(labels, "node", "left")
+            .join(of_centres, "centre", "left")
+            .select(
+                "bucket", "node", "centre", "n_shingles",
+                F.coalesce("component", "node").alias("component"),
+                F.expr("coalesce(component, node) <> coalesce(main, centre)").alias("stray"),
+            ),
+            f"marked-{step}",
         )
-        open_ = (
-            marked.groupBy("bucket")
-            .agg(
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-                F.min_by(F.struct("node", "component", "n_shingles"), F.xxhash64("node", "bucket")).alias("pick"),
-            )
-            .where("low < high")
-            .select("bucket", "pick")
-        )
-        marked = c.kept_table(marked.join(open_, "bucket"), f"open-{step}")
-        near = "10 * least(n_shingles, n_other) >= 8 * greatest(n_shingles, n_other)"
+        strays = marked.where("stray")
         if step == 2:
-            pairs = marked.where("component <> pick.component").select(
-                "node", "n_shingles", F.col("pick.node").alias("other"), F.col("pick.n_shingles").alias("n_other")
+            picks = strays.groupBy("bucket").agg(
+                F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket")).alias("pick")
             )
-        else:
-            left = marked.select("bucket", "node", "n_shingles", "component")
-            right = marked.select(
-                "bucket", F.col("node").alias("other"), F.col("n_shingles").alias("n_other"),
-                F.col("component").alias("other_component"),
+            pairs = (
+                strays.join(picks, "bucket")
+                .where("component <> pick.component")
+                .select("node", F.col("pick.node").alias("other"))
             )
-            pairs = left.join(right, "bucket").where("component < other_component")
+        else:
+            open_ = strays.select("bucket").distinct()
+            pairs = _pairs_of_strays(involved, marked.join(open_, "bucket"))
         pairs = (
-            pairs.where(near)
-            .select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("centre"))
+            pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("centre"))
             .distinct()
             .join(tested, ["node", "centre"], "left_anti")
         )
@@ -247,7 +337,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         tested = tested.unionByName(pairs)
         if more.isEmpty():
             continue
-        edges = edges.unionByName(more)
         # the labels already found stand for the earlier links
         known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = c.kept_table(components(known.unionByName(more)), f"labels-{step}")
