@@ -1,14 +1,58 @@
-"""The corpus pipeline: quality rules, exact and near duplicates, repeated passages, packing."""
+"""The corpus pipeline: quality rules, exact copies, near copies, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
+again as the next stage's documents. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pactlens.llm import exact
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pactlens.llm import exact, neardup, packing, quality, substring
+from pactlens.llm.common import kept_table, table
+
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.drop_rejected(docs)
 
-def drop_exact_copies(spark, docs, sf_dir):
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_copies(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
-QUERIES: dict = {}
-ORACLE: dict = {}
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.drop_near_duplicates(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", drop_low_quality),
+    ("exact dedup", drop_exact_copies),
+    ("minhash near-dedup", drop_near_copies),
+    ("substring dedup", cut_repeated_passages),
+    ("best-fit packing", pack),
+]
+
+#: The language model and the packing cannot be said in SQL; tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: the rows of the packed pieces."""
+    rows = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        rows = kept_table(stage(spark, rows, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, rows, sf_dir)
+
+
+QUERIES = {"pipeline": run}
+ORACLE: dict[str, str] = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}
