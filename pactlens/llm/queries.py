@@ -3,16 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pactlens.llm import exact, neardup, substring
+from pactlens.llm import bpe, exact, langid, licences, linkgraph, neardup, packing, quality, substring
 from pactlens.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predicted_languages(table(spark, sf_dir, "documents"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = exact.exact_copies(table(spark, sf_dir, "documents"))
     return copies.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per sequence; the id and position rows are given by their checksums."""
+    return packing.packed_sequences(table(spark, sf_dir, "documents")).select(
+        "sequence_id",
+        "n_tokens",
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("positions").alias("positions_crc32"),
+        "cu_seqlens",
+        "segments",
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_report(table(spark, sf_dir, "documents"))
 
@@ -21,13 +50,33 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judged_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
-    "op4_exact_dedup": op4_exact_dedup,
-    "op7_substring_dedup": op7_substring_dedup,
-    "op8_minhash_dedup": op8_minhash_dedup,
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_language_id,
+        op3_byte_bpe,
+        op4_exact_dedup,
+        op5_license_scan,
+        op6_packed_matrices,
+        op7_substring_dedup,
+        op8_minhash_dedup,
+        op9_best_fit_packing,
+        op10_url_filter,
+    )
 }
 
+#: Counterparts in DuckDB where SQL can say it and is quick enough over whole tables.
 ORACLE = {
+    "op5_license_scan": licences.oracle_sql(),
     "op4_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
