@@ -108,7 +108,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for language, parts in waiting.items():
             keys, counts = merged(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(keys)), pa.array(keys), pa.array(counts)],
+                [pa.array([language] * len(keys), pa.string()), pa.array(keys), pa.array(counts, pa.int64())],
                 names=["lang", "gram", "n"],
             )
 
