@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pactlens.llm.common import kept_table
@@ -15,7 +15,6 @@ def _stars(edges: DataFrame) -> DataFrame:
         both.join(low, "a")
         .where("b > a")
         .select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
-        .distinct()
     )
     low = large.groupBy("a").agg(F.min("b").alias("low"))
     joined = large.join(low, "a")
@@ -23,8 +22,13 @@ def _stars(edges: DataFrame) -> DataFrame:
     return small.unionByName(low.select("a", F.col("low").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _kept(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """The written edges, with their number and a checksum that are counted while writing."""
+    seen = Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    mixed = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mixed")
+    table = kept_table(edges.observe(seen, rows, mixed), name)
+    return table, (seen.get.get("rows"), seen.get.get("mixed"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -33,16 +37,15 @@ def components(edges: DataFrame) -> DataFrame:
     The edge table shrinks towards one edge per node. Every round is written, and only a row count
     and a checksum come to the driver.
     """
-    now = kept_table(
+    now, state = _kept(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         "edges",
     )
-    state = _state(now)
     while True:
-        now = kept_table(_stars(now), "stars")
-        was, state = state, _state(now)
+        was = state
+        now, state = _kept(_stars(now), "stars")
         if was == state:
             break
     ends = now.select(F.col("a").alias("node"), F.col("b").alias("component"))

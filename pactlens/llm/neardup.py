@@ -12,12 +12,12 @@ with probability (1 - 0.8**6)**40 = 5e-6. Equal sets (128-bit hash of the set) b
 Then links are confirmed on full sets, in three passes that never list all pairs of a bucket:
  1. every node of a bucket against the bucket's smallest node, its centre;
  2. the nodes of a bucket that are not in its centre's component (strays) against one of them;
- 3. what strays are left against the other components of the bucket, pruned by an exact bound. Let
-    s be the number of shingles that a node shares with the centre. Two nodes share at most the
-    smaller s, plus the shingles both have beside the centre's. Pairs that share some of the latter
-    are found and counted by a join on these; pairs that share none must reach the limit by the
-    smaller s alone, which leaves a narrow range of set sizes to look in. Only pairs whose bound
-    reaches the limit are confirmed.
+ 3. what strays are left against the other components of the bucket, pruned by exact bounds. Two
+    nodes share at most the smaller one of the numbers of shingles they share with the centre, plus
+    the shingles that both have beside the centre's. For each range of partner sizes this tells how
+    many of the latter a stray must share; then one of all but that many less one is shared too,
+    whichever are left out, so the most frequent ones are. Partners are found by a join on the rest.
+    A stray that needs none of them is compared with all partners of that range of sizes.
 Two nodes of one component need no test, so the components are those of all confirmed candidates.
 
 Rows: null or blank texts have an empty set, link with nothing and stay; a null doc_id has no
@@ -206,8 +206,7 @@ def _confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return _routed(texts, pairs).mapInArrow(_links, "a long, b long")
 
 
-def _reaches(shared: str) -> str:
-    return f"100 * ({shared}) >= 80 * (size + other_size - ({shared}))"
+_STEP = "cast(floor(ln({}) / ln(1.03D)) AS int)"  # ranges of set sizes, 3 % wide
 
 
 def _pairs_of_strays(texts: DataFrame, marked: DataFrame) -> DataFrame:
@@ -227,43 +226,53 @@ def _pairs_of_strays(texts: DataFrame, marked: DataFrame) -> DataFrame:
         .join(nodes, ["node", "centre"]),
         "details",
     )
-
-    def other(df: DataFrame, *names: str) -> DataFrame:
-        return df.select("centre", *[F.col(n).alias(f"other_{n}") for n in names])
-
+    others = known.select(
+        "centre", F.expr(_STEP.format("size")).alias("step"),
+        *[F.col(n).alias(f"other_{n}") for n in ("node", "size", "common", "component")], "rest",
+    )
     strays = known.where("stray")
-    per_shingle = strays.select("centre", "node", "size", "common", "component", F.explode("rest").alias("shingle"))
-    of_others = known.select(
-        "centre",
-        F.explode("rest").alias("shingle"),
-        *[F.col(n).alias(f"other_{n}") for n in ("node", "size", "common", "component")],
+    of_strays = strays.select("centre", "node", F.explode("rest").alias("shingle"))
+    frequency = (
+        known.select("centre", F.explode("rest").alias("shingle"))
+        .join(of_strays.select("centre", "shingle").distinct(), ["centre", "shingle"], "left_semi")
+        .groupBy("centre", "shingle")
+        .agg(F.count("*").alias("n"))
+    )
+    rare_first = (
+        of_strays.join(frequency, ["centre", "shingle"])
+        .groupBy("centre", "node")
+        .agg(F.expr("transform(array_sort(collect_list(struct(n, shingle))), x -> x.shingle)").alias("ordered"))
     )
-    both = (
-        per_shingle.join(of_others, ["centre", "shingle"])
-        .where("component <> other_component")
-        .groupBy("centre", "node", "other_node", "size", "other_size", "common", "other_common")
-        .agg(F.count("*").alias("beside"))
-        .where(_reaches("least(common, other_common) + beside"))
-        .select("node", F.col("other_node").alias("other"))
+    # sizes from 0.8 to 1.25 times the own; 9 * shared >= 4 * (size + other size) is the limit
+    wanted = (
+        strays.join(rare_first, ["centre", "node"], "left")
+        .withColumn("step", F.explode(F.expr(
+            f"sequence({_STEP.format('greatest(1D, 0.8D * size)')}, {_STEP.format('1.25D * size')})"
+        )))
+        .withColumn("needed", F.expr(
+            "cast(ceil(4 * (size + floor(exp(step * ln(1.03D)))) / 9) AS long) - common"
+        ))
     )
-    # 1.8 * common >= 0.8 * (size + other_size) bounds the other's size from above, 0.8 from below
-    step = "cast(floor(ln({}) / ln(1.03D)) AS int)"
-    ranges = strays.selectExpr(
-        "centre", "node", "size", "common", "component",
-        f"{step.format('greatest(1D, 0.8D * size)')} AS low",
-        f"{step.format('greatest(1D, 2.25D * common - size)')} AS high",
-    ).where("low <= high")
-    ranges = ranges.withColumn("step", F.explode(F.sequence("low", "high")))
-    sized = other(known, "node", "size", "common", "component").withColumn(
-        "step", F.expr(step.format("greatest(1L, other_size)"))
+    bound = (
+        "component <> other_component AND 9 * (least(common, other_common)"
+        " + least(size - common, other_size - other_common)) >= 4 * (size + other_size)"
     )
-    plain = (
-        ranges.join(sized, ["centre", "step"])
-        .where("component <> other_component")
-        .where(_reaches("least(common, other_common)"))
-        .select("node", F.col("other_node").alias("other"))
+    fields = ["centre", "step", "node", "size", "common", "component"]
+    sharing = wanted.where("needed > 0 AND needed <= size - common").select(
+        *fields, F.explode(F.expr("slice(ordered, 1, cast(size - common - needed + 1 AS int))")).alias("shingle")
     )
-    return both.unionByName(plain)
+    shared = sharing.join(
+        others.select("*", F.explode("rest").alias("shingle")).drop("rest"), ["centre", "step", "shingle"]
+    )
+    plain = wanted.where("needed <= 0").select(*fields).join(others.drop("rest"), ["centre", "step"])
+    ends = ["node", F.col("other_node").alias("other")]
+    return shared.where(bound).select(*ends).unionByName(plain.where(bound).select(*ends))
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    """Different pairs (node, centre), the smaller one as the centre, without those already tested."""
+    ordered = pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("centre"))
+    return ordered.distinct().join(tested, ["node", "centre"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -300,46 +309,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     edges = c.kept_table(_confirmed(involved, tested), "links-1")
     labels = c.kept_table(components(edges), "labels-1")
 
-    for step in (2, 3):
-        of_centres = labels.select(F.col("node").alias("centre"), F.col("component").alias("main"))
-        marked = c.kept_table(
-            placed.join(labels, "node", "left")
-            .join(of_centres, "centre", "left")
-            .select(
-                "bucket", "node", "centre", "n_shingles",
-                F.coalesce("component", "node").alias("component"),
-                F.expr("coalesce(component, node) <> coalesce(main, centre)").alias("stray"),
-            ),
-            f"marked-{step}",
-        )
-        strays = marked.where("stray")
-        if step == 2:
-            picks = strays.groupBy("bucket").agg(
-                F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket")).alias("pick")
-            )
-            pairs = (
-                strays.join(picks, "bucket")
-                .where("component <> pick.component")
-                .select("node", F.col("pick.node").alias("other"))
-            )
-        else:
-            open_ = strays.select("bucket").distinct()
-            pairs = _pairs_of_strays(involved, marked.join(open_, "bucket"))
-        pairs = (
-            pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("centre"))
-            .distinct()
-            .join(tested, ["node", "centre"], "left_anti")
+    of_centres = labels.select(F.col("node").alias("centre"), F.col("component").alias("main"))
+    marked = c.kept_table(
+        placed.join(labels, "node", "left")
+        .join(of_centres, "centre", "left")
+        .select(
+            "bucket", "node", "centre", "n_shingles",
+            F.coalesce("component", "node").alias("component"),
+            F.coalesce("main", "centre").alias("main"),
+        ),
+        "marked",
+    )
+    strays = marked.where("component <> main")
+    picks = strays.groupBy("bucket").agg(
+        F.min_by(F.struct("node", "component"), F.xxhash64("node", "bucket")).alias("pick")
+    )
+    pairs = strays.join(picks, "bucket").where("component <> pick.component")
+    pairs = c.kept_table(_untested(pairs.select("node", F.col("pick.node").alias("other")), tested), "pairs-2")
+    tested = tested.unionByName(pairs)
+    more = c.kept_table(_confirmed(involved, pairs), "links-2")
+
+    # links to picks make labels coarser already; the rest is up to the components at the end
+    both = more.unionByName(more.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    of_nodes = marked.select("node", "component").distinct()
+    closer = (
+        both.join(of_nodes.select(F.col("node").alias("b"), F.col("component").alias("far")), "b")
+        .join(of_nodes.select(F.col("node").alias("a"), F.col("component").alias("own")), "a")
+        .groupBy(F.col("own").alias("component"))
+        .agg(F.min("far").alias("far"))
+        .where("far < component")
+    )
+    closer = c.kept_table(closer, "closer")
+    open_ = strays.select("bucket").distinct()
+    marked = (
+        marked.join(open_, "bucket", "left_semi")
+        .join(closer, "component", "left")
+        .join(closer.select(F.col("component").alias("main"), F.col("far").alias("main_far")), "main", "left")
+        .select(
+            "bucket", "node", "centre",
+            F.coalesce("far", "component").alias("component"),
+            F.expr("coalesce(far, component) <> coalesce(main_far, main)").alias("stray"),
         )
-        pairs = c.kept_table(pairs, f"pairs-{step}")
-        if pairs.isEmpty():
-            continue
-        more = c.kept_table(_confirmed(involved, pairs), f"links-{step}")
-        tested = tested.unionByName(pairs)
-        if more.isEmpty():
-            continue
-        # the labels already found stand for the earlier links
-        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = c.kept_table(components(known.unionByName(more)), f"labels-{step}")
+    )
+    pairs = c.kept_table(_untested(_pairs_of_strays(involved, marked), tested), "pairs-3")
+    more = more.unionByName(c.kept_table(_confirmed(involved, pairs), "links-3"))
+    # the labels already found stand for the links of the first pass
+    known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = c.kept_table(components(known.unionByName(more)), "labels")
 
     return (
         found.select("doc_id", "n_shingles", "set_a", "set_b")
