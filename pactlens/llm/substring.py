@@ -15,7 +15,8 @@ smaller doc_id has it as well. The steps:
    matching statistics (the longest match that ends at a word) tell which windows earlier documents
    have; windows that none has are added to the automaton. So it holds each passage once.
 4. Between the slices of a large shard, windows still unmatched are compared by a 128-bit hash.
-5. The removed spans go back to the documents.
+5. The removed spans go back to the documents. Spans and hits grow with the corpus, so these joins
+   are sorted merges at every size and never broadcasts.
 
 Words are compared as bytes. Rows: a null doc_id is neither trimmed nor a reference; rows that repeat
 a doc_id do not trim one another; null text has no words; other columns are ignored or kept as is.
@@ -282,7 +283,7 @@ def covered_windows(docs: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("shard", "parts", "leads", "first", "n")).alias("hits"))
     )
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    passages = texts.join(per_document, ["doc_id", "tag"]).mapInArrow(
+    passages = texts.join(per_document.hint("merge"), ["doc_id", "tag"]).mapInArrow(
         _passage_batches,
         "shard long, part int, doc_id long, tag int, start int, leads boolean, split boolean, words binary",
     )
@@ -358,7 +359,7 @@ def removal_report(docs: DataFrame) -> DataFrame:
     spans = c.kept_table(covered_windows(docs), "spans")
     texts = c.pick(docs, "doc_id", "text").select("doc_id", "text", _tag())
     return (
-        texts.join(spans, ["doc_id", "tag"], "left")
+        texts.join(spans.hint("merge"), ["doc_id", "tag"], "left")
         .select("doc_id", _digest("text", "spans").alias("kept"))
         .select("doc_id", "kept.*")
     )
@@ -376,7 +377,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     id_, text = (f"c{names.index(n)}" for n in ("doc_id", "text"))
     tagged = plain.withColumn("tag", F.hash(text))
     spans = spans.select(F.col("doc_id").alias("id"), F.col("tag").alias("id_tag"), "spans")
-    joined = tagged.join(spans, (F.col(id_) == F.col("id")) & (F.col("tag") == F.col("id_tag")), "left")
+    joined = tagged.join(spans.hint("merge"), (F.col(id_) == F.col("id")) & (F.col("tag") == F.col("id_tag")), "left")
     out = joined.withColumn("trimmed", _trimmed(F.col(text), F.col("spans")))
     columns = []
     for i, name in enumerate(names):
