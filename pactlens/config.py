@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 
@@ -40,12 +40,11 @@ class ReportConfig:
     warning_loss_ratio: float = 0.75
     high_loss_ratio: float = 0.9
     excluded_component_codes: tuple[str, ...] = ()
-    # fixed values: pairs of (code, name) that name the same agent
-    entity_aliases: tuple[tuple[str, str], ...] = (("exw", "executive warranties"),)
+    # pairs of (code, name) that name the same agent
+    entity_aliases: tuple[tuple[str, str], ...] = ()
     market_states: tuple[str, ...] = ("FL", "FLORIDA")
     market_zip_prefixes: tuple[str, ...] = ("32", "33", "34")
     low_admin_fee: float = 20.0
-    extra: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         if self.top_dealer_count < 1:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pactlens.config import ReportConfig
-from pactlens.functions.scalars import MONEY, lenient_number, quoted
+from pactlens.functions.scalars import MONEY, lenient_number, quoted, trimmed
 
 # What names mark a component as not belonging to the administrator.
 COMMON_PARTS = ["DEALER", "DLR", "COMMISSION", "COMM", "F&I", "PACK"]
@@ -18,7 +18,7 @@ ADMIN_PARTS = ["ROADSIDE AKMC"]
 
 def named(value: str, names: list[str], parts: list[str]) -> str:
     """Whether an upper-cased, trimmed value equals one of the names or holds one of the parts."""
-    upper = f"upper(trim({value}))"
+    upper = f"upper({trimmed(value)})"
     held = "|".join(re.escape(p) for p in parts).replace("\\", "\\\\")
     by_part = f"{upper} RLIKE '{held}'"
     return f"({by_part} OR {upper} IN ({quoted(*names)}))" if names else f"({by_part})"
@@ -65,7 +65,7 @@ def cells(container: str, cfg: ReportConfig) -> str:
 def category_place(container: str, category: str) -> str:
     """Place of the first category of that name, whatever its case and padding; -1 if none."""
     return (
-        f"array_position(transform(map_keys({container}), k -> upper(trim(k))), '{category}') - 1"
+        f"array_position(transform(map_keys({container}), k -> upper({trimmed('k')})), '{category}') - 1"
     )
 
 
@@ -76,7 +76,7 @@ def included_amount(cells_: str, category: str, places: dict[str, str]) -> str:
         f" AND NOT {named('f.component', *_SPECIFIC[category])}"
     )
     if category == "ADMIN":
-        kept = f"({kept}) OR (f.ordinal = {places['RESERVE']} AND upper(trim(f.component)) = 'ADMIN')"
+        kept = f"({kept}) OR (f.ordinal = {places['RESERVE']} AND upper({trimmed('f.component')}) = 'ADMIN')"
     return total(f"filter({cells_}, f -> {kept})", "e.amount")
 
 
@@ -93,7 +93,7 @@ def component_list(container: str, cells_: str) -> str:
     """
     names = f"transform(map_keys({container}), n -> upper(n))"
     last_only = (
-        f"filter({cells_}, (e, i) -> NOT exists(slice({cells_}, i + 2, 1000000),"
+        f"filter({cells_}, (e, i) -> NOT exists(slice({cells_}, i + 2, size({cells_})),"
         f" o -> o.category = e.category AND o.component = e.component))"
     )
     return (

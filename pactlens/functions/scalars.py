@@ -22,7 +22,11 @@ NO_LOSS_TEXT = "Description unavailable"
 NO_COVERAGE_NAME = "Unmapped Coverage Name"
 SENTINELS = ["Unassigned", "Unknown Dealer", "Unmapped", "Unmapped Product Type"]
 
-_BLANKS = r" \t\n\r\u000b\u000c\u00a0"
+# What counts as blank at the ends of a text and inside keys and amounts.
+_BLANKS = (
+    r" \t\n\r\u000b\u000c\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    r"\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 
 
 def quoted(*values: str) -> str:
@@ -31,8 +35,12 @@ def quoted(*values: str) -> str:
 
 
 def text(value: str) -> str:
-    """Trimmed text, empty for NULL."""
-    return f"coalesce(trim(cast({value} AS string)), '')"
+    """Trimmed text, empty for NULL. Blanks of all kinds are taken off both ends."""
+    return f"coalesce({trimmed(f'cast({value} AS string)')}, '')"
+
+
+def trimmed(value: str) -> str:
+    return f"trim(BOTH '{_BLANKS}' FROM {value})"
 
 
 def business_id(value: str) -> str:
@@ -47,20 +55,49 @@ def or_else(*values: str) -> str:
 def lenient_number(value: str, dtype: str = MONEY) -> str:
     """Number with currency signs, commas, percent signs and blanks ignored; 0 if it is none.
 
-    A decimal cast takes neither ``1d`` nor ``NaN`` nor ``Infinity``, which are 0 here.
+    A decimal cast takes neither ``1d`` nor ``NaN`` nor ``Infinity``, which are 0 here. An amount is
+    read with all its digits first: one that does not fit the type stops the query with an overflow
+    error and is never taken for 0.
     """
     bare = f"translate(cast({value} AS string), '$,%{_BLANKS}', '')"
-    return f"coalesce(try_cast({bare} AS {dtype}), cast(0 AS {dtype}))"
+    wide = f"try_cast({bare} AS decimal(38,4))" if dtype == MONEY else f"try_cast({bare} AS {dtype})"
+    return f"coalesce(cast({wide} AS {dtype}), cast(0 AS {dtype}))"
+
+
+# Shapes of dates that are read, and the pattern of their day; ISO forms are cast instead.
+_DAY_SHAPES = [
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}([^0-9]|$)", "M/d/yyyy"),
+    ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}([^0-9]|$)", "yyyy/M/d"),
+    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}([^0-9]|$)", "M-d-yyyy"),
+    ("^[A-Za-z]{3} [0-9]{1,2} [0-9]{4}([^0-9]|$)", "MMM d yyyy"),
+    ("^[A-Za-z]{4,9} [0-9]{1,2} [0-9]{4}([^0-9]|$)", "MMMM d yyyy"),
+]
+_SHORT_YEAR = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}([^0-9]|$)"
+_ISO = "^[0-9]{4}(-[0-9]{2}(-[0-9]{2}([T ].*)?)?)?$"
 
 
 def lenient_timestamp(value: str) -> str:
-    """Timestamp of a US slash date, with or without time of day, or of an ISO date; else NULL."""
-    raw = f"trim({value})"
+    """Timestamp to the second of a US slash or dash date, an ISO date, a date with an English month,
+    each with or without a time of day; else NULL. A time of day alone is no date. Two-digit years
+    from 50 on are of the last century.
+    """
+    raw = trimmed(value)
+    plain = f"replace({raw}, ',', '')"
+
+    def read(day: str) -> str:
+        return (
+            f"CASE WHEN upper({plain}) LIKE '%M'"
+            f" THEN try_to_timestamp({plain}, '{day} h:mm[:ss[.SSS]] a')"
+            f" ELSE try_to_timestamp({plain}, '{day}[ H:mm[:ss[.SSS]]]') END"
+        )
+
+    short = read("M/d/yy")
+    cases = " ".join(f"WHEN {plain} RLIKE '{shape}' THEN {read(day)}" for shape, day in _DAY_SHAPES)
     return (
-        f"CASE WHEN contains({value}, '/') THEN"
-        f" CASE WHEN upper({raw}) LIKE '%M' THEN try_to_timestamp({raw}, 'M/d/yyyy h:mm[:ss] a')"
-        f" ELSE try_to_timestamp({raw}, 'M/d/yyyy[ H:mm[:ss]]') END"
-        f" ELSE date_trunc('second', try_cast({raw} AS timestamp)) END"
+        f"date_trunc('second', CASE {cases} WHEN {raw} RLIKE '{_ISO}' THEN CASE WHEN upper({raw})"
+        f" LIKE '%M' THEN {read('yyyy-MM-dd')} ELSE try_cast({raw} AS timestamp) END"
+        f" WHEN {plain} RLIKE '{_SHORT_YEAR}' THEN CASE WHEN year({short}) >= 2050"
+        f" THEN {short} - INTERVAL '100' YEAR ELSE {short} END END)"
     )
 
 

@@ -63,6 +63,7 @@ def priced(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Pricing documents with defaults, numbers, and whether they belong to the market."""
     state = f"upper({s.text('state')})"
     zips = "|".join(cfg.market_zip_prefixes)
+    starts = " OR ".join(f"startswith({state}, upper({s.quoted(m)}))" for m in cfg.market_states)
     return raw.selectExpr(
         "ingest_ord",
         f"{s.or_else('contract_no', s.quoted(''))} AS contract_no",
@@ -78,6 +79,8 @@ def priced(raw: DataFrame, cfg: ReportConfig) -> DataFrame:
         f"{state} IN ({s.quoted(*cfg.market_states)})"
         f" OR coalesce({s.text('zip')} RLIKE '^({zips})', false) AS in_market",
         f"startswith({state}, upper({s.quoted(cfg.market_states[0])})) AS in_state",
+        f"coalesce({s.text('zip')} RLIKE '^({zips})', false) AS zip_in_market",
+        f"{starts} AS state_in_market",
     )
 
 
@@ -199,18 +202,18 @@ def coverage_extremes(rows: DataFrame, limit: int = 5) -> DataFrame:
 
 
 def zip_exceptions(rows: DataFrame) -> DataFrame:
-    """Dealers whose zip code is the market's but whose state is not."""
-    zip_says = "in_market AND NOT in_state"
+    """Dealers whose zip code is the market's but whose state is none of the market's."""
+    zip_says = "zip_in_market AND NOT state_in_market"
     return rows.where(zip_says).groupBy("dealer_name", "state", "zip").agg(
         F.count("*").alias("documents")
     )
 
 
 def market_coverage(rows: DataFrame) -> DataFrame:
-    """Distinct dealers and coverages, in all and in the market."""
+    """Distinct dealers and coverages, in all and in the market by state or zip code."""
     tables = [
         rows.groupBy(F.col(c).alias("value"))
-        .agg(F.max("in_market").alias("in_market"))
+        .agg(F.max(F.expr("state_in_market OR zip_in_market")).alias("in_market"))
         .agg(F.count("*").alias("total"), F.expr("count_if(in_market) AS market"))
         .select(F.lit(label).alias("what"), "total", "market")
         for c, label in (("dealer_name", "dealers"), ("coverage_code", "coverage codes"))
@@ -240,10 +243,27 @@ def markup_samples(rows: DataFrame, limit: int = 5) -> DataFrame:
     )
 
 
-def state_profile(rows: DataFrame, limit: int = 100) -> DataFrame:
-    """Highest markup and margin among the first hundred documents of the state."""
-    sample = rows.where("in_state").orderBy("ingest_ord", "contract_no").limit(limit)
-    return sample.agg(
+def markup_documents(rows: DataFrame, limit: int = 5) -> DataFrame:
+    """First documents of the state that carry a markup."""
+    return (
+        rows.where("in_state AND markup <> 0")
+        .orderBy("ingest_ord", "contract_no")
+        .limit(limit)
+        .select(
+            "dealer_name", "dealer_number", "coverage_code", "coverage_name", "contract_no",
+            "markup", "retail", "net",
+        )
+    )
+
+
+def states(rows: DataFrame) -> DataFrame:
+    """Every spelling of a state with its documents, and whether it counts as the market."""
+    return rows.groupBy("state", "state_in_market").agg(F.count("*").alias("documents"))
+
+
+def state_profile(rows: DataFrame) -> DataFrame:
+    """Number of documents of the state, their highest markup and margin."""
+    return rows.where("in_state").agg(
         F.count("*").alias("documents"),
         F.expr("greatest(max(markup), 0) AS max_markup"),
         F.expr("greatest(max(retail - net), 0) AS max_margin"),

@@ -513,7 +513,8 @@ cte("prc", [], """
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 cte("pr", ["prc"], """
     SELECT *, state IN ('NATION_7', 'NATION_8') OR left(zip, 2) IN ('32', '33', '34') AS in_market,
-        state LIKE 'NATION\\_7%' ESCAPE '\\' AS in_state
+        state LIKE 'NATION\\_7%' ESCAPE '\\' AS in_state,
+        regexp_matches(state, '^NATION_(7|8)') AS named, regexp_matches(zip, '^(32|33|34)') AS zipped
     FROM prc""")
 cte("mkt", ["pr"], "SELECT * FROM pr WHERE in_market")
 cte("sta", ["pr"], "SELECT * FROM pr WHERE in_state")
@@ -549,7 +550,8 @@ ORACLE["contract_normalize"] = sql(["rows2", "refs"], f"""
         cstatus AS contract_status, type AS transaction_type, {t('activity')} AS activity_date,
         {t('eff')} AS effective_date, agent, dealer, product, company, {r('admin')} AS admin_amount,
         {r('reserve')} AS reserve_amount, {r('gross')} AS gross_income_amount,
-        {n('1')} AS has_schedule, {n('term')} AS schedule_last_month
+        {n('1')} AS has_schedule, {n('term')} AS schedule_last_month, {n('term')} AS schedule_months,
+        {d('1')} AS last_factor
     FROM (SELECT * FROM rows2 UNION ALL SELECT * FROM refs)""")
 
 ORACLE["dimension_defaults"] = f"""
@@ -593,7 +595,7 @@ ORACLE["loss_ratio_bands"] = sql(["dims"], f"""
             WHEN earned_loss_ratio >= 0.85 THEN 'amber' ELSE 'green' END AS band,
         CASE WHEN earned_loss_ratio > 0.9 THEN 'high' WHEN earned_loss_ratio >= 0.75 THEN 'warning'
             ELSE 'normal' END AS alert,
-        {n('coalesce(admin_per_contract > 0 AND admin_per_contract < 700, false)')} AS low_admin
+        {n('coalesce(admin_per_contract > 0 AND admin_per_contract < 20, false)')} AS low_admin
     FROM dims WHERE dim = 'dealer' AND period_id = 'rolling12'""")
 
 # ---- components
@@ -630,6 +632,10 @@ ORACLE["component_pivot"] = sql(["tx", "comp", "txc"], "SELECT a.*, " + ", ".joi
     FROM txc GROUP BY type, product) b
     ON a.transaction_type = b.type AND a.product = b.product""")
 
+ORACLE["undeclared_components"] = sql(["txc"], f"""
+    SELECT cat AS category, comp AS component, {n('count(*)')} AS n, {r('sum(amt)')} AS amount
+    FROM txc WHERE comp = 'SURCHARGE' GROUP BY 1, 2""")
+
 _W = "sum(CASE WHEN type = 'Cancellation' THEN 0 ELSE amt END)"
 _C = "sum(CASE WHEN type = 'Cancellation' THEN -abs(amt) ELSE 0 END)"
 ORACLE["component_buckets"] = sql(["txc"], f"""
@@ -1053,7 +1059,7 @@ ORACLE["top_makes"] = sql(["r12"], f"""
 ORACLE["visible_segments"] = sql(["lcr"], f"""
     SELECT code AS loss_code, description, {r('rp')} AS rolling12_paid,
         {r(f"{d('rp')} / {d('sum(rp) OVER ()')}")} AS segment_share
-    FROM lcr WHERE share >= 0.165 AND rp > 0""")
+    FROM lcr WHERE share >= 0.02 AND rp > 0""")
 cte("dcodes", ["cl"], """
     SELECT entity, code, count(*) AS k, sum(paid) AS p, arg_min(descr, (place, source_id)) AS descr
     FROM (SELECT upper(dealer) AS entity, * FROM cl
@@ -1062,7 +1068,7 @@ ORACLE["top_loss_codes_per_dealer"] = sql(["dcodes"], f"""
     SELECT entity, code AS loss_code, {n('k')} AS line_count, {r('p')} AS total_paid,
         descr AS description, {n('rk')} AS rank
     FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY p DESC, code) AS rk FROM dcodes)
-    WHERE rk <= 3""")
+    WHERE rk <= 15""")
 cte("soldreach", ["cl", "lookup"], """
     SELECT cl.* FROM cl LEFT JOIN lookup l ON cl.cnum = l.num
     WHERE cl.agent = 'NATION_3' OR l.agent = 'NATION_3' OR l.agent_name = 'NATION_3 Agency'""")
@@ -1415,14 +1421,20 @@ ORACLE["state_vs_nation"] = sql(["pr"], f"""
 ORACLE["coverage_extremes"] = sql(["sta"], f"""
     SELECT *, {n('row_number() OVER (ORDER BY max_markup DESC, coverage_code)')} AS rank
     FROM ({coverage('sta', False)}) ORDER BY max_markup DESC, coverage_code LIMIT 5""")
-ORACLE["coverage_exceptions"] = sql(["mkt"], f"""
-    SELECT dealer_name, state, zip, {n('count(*)')} AS documents FROM mkt WHERE NOT in_state
+ORACLE["coverage_exceptions"] = sql(["pr"], f"""
+    SELECT dealer_name, state, zip, {n('count(*)')} AS documents FROM pr WHERE zipped AND NOT named
     GROUP BY 1, 2, 3""")
 ORACLE["market_coverage"] = sql(["pr"], f"""
     SELECT 'dealers' AS what, {n('count(DISTINCT dealer_name)')} AS total,
-        {n('count(DISTINCT dealer_name) FILTER (WHERE in_market)')} AS market FROM pr
+        {n('count(DISTINCT dealer_name) FILTER (WHERE named OR zipped)')} AS market FROM pr
     UNION ALL SELECT 'coverage codes', {n('count(DISTINCT code)')},
-        {n('count(DISTINCT code) FILTER (WHERE in_market)')} FROM pr""")
+        {n('count(DISTINCT code) FILTER (WHERE named OR zipped)')} FROM pr""")
+ORACLE["market_states"] = sql(["pr"], f"""
+    SELECT state, named AS state_in_market, {n('count(*)')} AS documents FROM pr GROUP BY 1, 2""")
+ORACLE["markup_documents"] = sql(["sta"], f"""
+    SELECT dealer_name, dealer_number, code AS coverage_code, ptype AS coverage_name, contract_no,
+        {r('markup')} AS markup, {r('retail')} AS retail, {r('net')} AS net
+    FROM sta WHERE markup <> 0 ORDER BY ord, contract_no LIMIT 5""")
 ORACLE["markup_presence"] = sql(["sta"], f"""
     SELECT {n('count(*)')} AS documents, {n('count(*) FILTER (WHERE markup <> 0)')} AS with_markup,
         {n('count(*) FILTER (WHERE retail > net)')} AS above_net FROM sta""")
@@ -1433,7 +1445,7 @@ ORACLE["markup_samples"] = sql(["sta"], f"""
 ORACLE["state_profile"] = sql(["sta"], f"""
     SELECT {n('count(*)')} AS documents, {r('greatest(max(markup), 0)')} AS max_markup,
         {r('greatest(max(retail - net), 0)')} AS max_margin
-    FROM (SELECT * FROM sta ORDER BY ord, contract_no LIMIT 100)""")
+    FROM sta""")
 
 # ---- narratives
 

@@ -29,6 +29,7 @@ from pactlens.sources.schemas import PII_FIELDS
 CFG = mp.CONFIG
 DEALER = "D7"
 AGENT = "NATION_3"
+TOP_CODES = 15  # loss codes shown per dealer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _reports: dict[tuple[str, str], Report] = {}
@@ -230,11 +231,12 @@ def classify_tx(r):
 
 @on_report
 def contract_normalize(r):
-    return r.contract_rows.select(
+    return r.contract_rows.selectExpr(
         "feed", "source_id", "snapshot_ts", "contract_number", "contract_status",
         "transaction_type", "activity_date", "effective_date", "agent", "dealer", "product",
         "company", "admin_amount", "reserve_amount", "gross_income_amount", "has_schedule",
-        "schedule_last_month",
+        "schedule_last_month", "cardinality(earning_schedule) AS schedule_months",
+        "cast(earning_schedule[schedule_last_month] AS double) AS last_factor",
     )
 
 
@@ -282,7 +284,7 @@ def loss_ratio_bands(r):
         f"{s.loss_ratio_band('earned_loss_ratio')} AS band",
         f"{s.loss_ratio_alert('earned_loss_ratio', CFG.warning_loss_ratio, CFG.high_loss_ratio)}"
         " AS alert",
-        f"{s.low_admin_flag('admin_per_contract', 700.0)} AS low_admin",
+        f"{s.low_admin_flag('admin_per_contract', CFG.low_admin_fee)} AS low_admin",
     )
 
 
@@ -321,13 +323,20 @@ def component_exclusions(spark, sf_dir):
 
 @on_report
 def component_pivot(r):
-    wide = ct.component_pivot(r.transactions, ["transaction_type", "product"])
-    cells = [c for c in wide.columns if " - " in c]
+    cells = [f"{c} - {n}" for c, names in mp.COMPONENTS.items() for n in names]
+    wide = ct.component_pivot(r.transactions, ["transaction_type", "product"], cells)
     return wide.groupBy("transaction_type", "product").agg(
         *[F.sum(f"`{c}`").alias(c.lower().replace(" - ", "_")) for c in cells]
     )
 
 
+@on_report
+def undeclared_components(r):
+    """What a pivot without the surcharges would leave out."""
+    cells = [f"{c} - {n}" for c, names in mp.COMPONENTS.items() for n in names if n != "SURCHARGE"]
+    return ct.undeclared_components(r.transactions, cells)
+
+
 @on_report
 def component_buckets(r):
     return ct.component_buckets(r.transactions, ["agent"])
@@ -652,13 +661,13 @@ def top_makes(r):
 
 @on_report
 def visible_segments(r):
-    return lc.chart_segments(lc.visible_rows(r.loss_codes, 0.165))
+    return lc.chart_segments(lc.visible_rows(r.loss_codes))
 
 
 @on_report
 def top_loss_codes_per_dealer(r):
     rows = dd.entity_fanout(r.claims, ["dealer", "dealer_name"])
-    return lc.top_codes_per_entity(rows, "entity", 3)
+    return lc.top_codes_per_entity(rows, "entity", TOP_CODES)
 
 
 @on_report
@@ -919,6 +928,16 @@ def markup_samples(spark, sf_dir):
     return pr.markup_samples(_priced(spark, sf_dir))
 
 
+@on_tables
+def markup_documents(spark, sf_dir):
+    return pr.markup_documents(_priced(spark, sf_dir))
+
+
+@on_tables
+def market_states(spark, sf_dir):
+    return pr.states(_priced(spark, sf_dir))
+
+
 @on_tables
 def state_profile(spark, sf_dir):
     return pr.state_profile(_priced(spark, sf_dir))

@@ -63,16 +63,27 @@ class Report:
         return nz.evaluate_claims(self.claim_documents)
 
     @cached_property
-    def contract_rows(self) -> DataFrame:
+    def all_contract_rows(self) -> DataFrame:
+        """Normalised contract rows of all dates, with whole curves."""
         return self._keep(nz.normalize_contracts(self.evaluated_contracts, self.cfg), "contract-rows")
 
+    @cached_property
+    def contract_rows(self) -> DataFrame:
+        return nz.contracts_as_of(self.all_contract_rows, self.cfg)
+
+    @cached_property
+    def all_claim_rows(self) -> DataFrame:
+        """Normalised payment lines of all dates."""
+        return self._keep(nz.normalize_claims(self.evaluated_claims), "claim-rows")
+
     @cached_property
     def claim_rows(self) -> DataFrame:
-        return self._keep(nz.normalize_claims(self.evaluated_claims, self.cfg), "claim-rows")
+        return nz.claims_as_of(self.all_claim_rows, self.cfg)
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return self._keep(dd.contract_ledger(self.contract_rows), "ledger")
+        rows = nz.reporting_curves(self.contract_rows, self.cfg)
+        return self._keep(dd.contract_ledger(rows), "ledger")
 
     @cached_property
     def transactions(self) -> DataFrame:
@@ -84,9 +95,9 @@ class Report:
 
     @cached_property
     def issues(self) -> DataFrame:
-        return nz.contract_issues(self.evaluated_contracts, self.cfg).unionByName(
-            nz.claim_issues(self.evaluated_claims)
-        )
+        """Problems of raw documents, written once for all users."""
+        found = nz.contract_issues(self.evaluated_contracts, self.cfg)
+        return self._keep(found.unionByName(nz.claim_issues(self.evaluated_claims)), "issues")
 
     # periods
 

@@ -34,13 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread rows over all cores if their tables have fewer files than there are cores.
-
-    Tables of many files are scanned in parallel as they are and are not shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+# written components of the mapped documents
+COMPONENTS = {
+    "ADMIN": ["ADMIN", "BASEADMIN", "DEALERCOMM", "SURCHARGE"],
+    "RESERVE": ["ADMIN", "BASERESERVE", "DEALERCOMM", "SURCHARGE"],
+}
 
 
 def line_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +109,7 @@ def contract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # both sides of the second join grow with the data: neither may be broadcast
     orders = table(spark, sf_dir, "orders").join(holder, F.expr("o_custkey = c_custkey"))
     base = (
-        spread(orders, "o_orderkey")
-        .join(_amounts_per_order(spark, sf_dir).hint("merge"), "o_orderkey", "left")
+        orders.join(_amounts_per_order(spark, sf_dir).hint("merge"), "o_orderkey", "left")
         .selectExpr(
             "o_orderkey AS key",
             "o_orderstatus AS status",
@@ -182,7 +179,7 @@ def claim_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     parts = table(spark, sf_dir, "part")
     base = (
-        spread(lines.join(parts, F.expr("l_partkey = p_partkey")), "l_orderkey")
+        lines.join(parts, F.expr("l_partkey = p_partkey"))
         .selectExpr(
             "*",
             "l_orderkey AS key",

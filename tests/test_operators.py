@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -103,6 +104,26 @@ def test_months_add_up_to_the_rolling_year(rep):
         assert r.contracts_written <= rows["inception"].contracts_written
 
 
+def test_an_earlier_day_from_rows_normalised_under_a_later_one(rep, spark):
+    from pactlens.plans.report import Report
+
+    earlier = replace(CFG, as_of=date(2000, 2, 10))
+    documents = rep.contract_documents, rep.claim_documents, rep.audits
+    fresh = Report(spark, earlier, *documents)
+    reused = Report(spark, earlier, *documents)
+    reused.__dict__.update(all_contract_rows=rep.all_contract_rows, all_claim_rows=rep.all_claim_rows)
+    columns = ["period_id", "contracts_written", "earned_reserve", "claims_paid", "net_reserve"]
+    a, b = (sorted(map(tuple, r.metrics.select(*columns).collect())) for r in (fresh, reused))
+    assert a == b and any(row[2] for row in a)
+
+
+def test_whole_curves_are_stored(rep):
+    longest = rep.all_contract_rows.agg(F.expr("max(cardinality(earning_schedule))")).first()[0]
+    assert longest == 60
+    later = rep.all_contract_rows.where(f"activity_date > date'2001-06-30'").count()
+    assert later + rep.contract_rows.count() == rep.all_contract_rows.count()
+
+
 def test_shares_add_up(rep):
     for chart in ("reserve", "admin"):
         rows = dm.product_mix(rep.dimension("product", "inception")).where(f"chart = '{chart}'")
@@ -130,12 +151,48 @@ def test_numbers_and_dates(spark):
         ("NaN", "0.0000", "13/45/2026", None),
         ("1e3", "1000.0000", "", None),
         (None, "0.0000", None, None),
+        ("\t5\u00a0\n", "5.0000", "\u00a07/5/2026\ufeff", "2026-07-05 00:00:00"),
+        ("99999999999999.9999", "99999999999999.9999", "5/1/21", "2021-05-01 00:00:00"),
+        ("-$1.00", "-1.0000", "5/1/75", "1975-05-01 00:00:00"),
+        ("abc", "0.0000", "05/01/2021 13:05:06.123", "2021-05-01 13:05:06"),
+        ("", "0.0000", "1/5/2024, 10:00:00 AM", "2024-01-05 10:00:00"),
+        (" ", "0.0000", "2024-01-05 10:00 AM", "2024-01-05 10:00:00"),
+        ("Infinity", "0.0000", "Jan 5, 2024", "2024-01-05 00:00:00"),
+        ("1 000", "1000.0000", "January 5, 2024 3:04 PM", "2024-01-05 15:04:00"),
+        ("$", "0.0000", "2024/01/05", "2024-01-05 00:00:00"),
+        ("5%", "5.0000", "2024/1/5 23:59", "2024-01-05 23:59:00"),
+        (".5", "0.5000", "01-05-2024", "2024-01-05 00:00:00"),
+        ("5.", "5.0000", "12:30", None),
+        ("--1", "0.0000", "T09:15", None),
+        ("+7", "7.0000", "9:15 AM", None),
+        ("0x10", "0.0000", "2024", "2024-01-01 00:00:00"),
+        ("1,2", "12.0000", "2024-03", "2024-03-01 00:00:00"),
+        ("1.23456", "1.2346", "2026-07-05T10:11:12+02:00", "2026-07-05 08:11:12"),
+        ("1E2", "100.0000", "2026-07-05 10:11:12", "2026-07-05 10:11:12"),
+        ("null", "0.0000", "soon", None),
+        ("(5)", "0.0000", "2/30/2024", None),
+        ("5-", "0.0000", "12/31/1999 12:00:00 AM", "1999-12-31 00:00:00"),
+        ("1,234,567.89", "1234567.8900", "Dec 31 1999", "1999-12-31 00:00:00"),
+        ("\ufeff3", "3.0000", "5/1/2021x", None),
+        ("3\u2003", "3.0000", "20240105", None),
     ]
     df = spark.createDataFrame([(a, d) for a, _, d, _ in cases], "a string, d string")
     rows = df.selectExpr(f"{s.lenient_number('a')} AS a", f"{s.lenient_timestamp('d')} AS d").collect()
     assert [(str(r.a), r.d and str(r.d)) for r in rows] == [(a, d) for _, a, _, d in cases]
 
 
+def test_blanks_of_all_kinds_are_trimmed(spark):
+    df = spark.createDataFrame([("\tA B\n",), ("\u00a0A B\u2003",), ("\ufeffA B ",), ("A B",)], "t string")
+    rows = df.selectExpr(f"{s.text('t')} AS t", f"{s.business_id('t')} AS i").distinct().collect()
+    assert [tuple(r) for r in rows] == [("A B", "AB")]
+
+
+def test_an_amount_too_large_is_an_error(spark):
+    df = spark.createDataFrame([("123456789012345",)], "a string")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
+        df.selectExpr(f"{s.lenient_number('a')} AS a").collect()
+
+
 def test_component_names(spark):
     names = ["OEM Transport x", "premtax", "Comm", "Loan", "LOANPMT", "my code"]
     cfg = ReportConfig(as_of=date(2026, 1, 1), excluded_component_codes=("MY CODE",))
