@@ -22,7 +22,7 @@ def parse_as_of(args: Sequence[str], today: date | None = None) -> date:
     try:
         return date.fromisoformat(raw)
     except ValueError as err:
-        raise ValueError("--as-of must use YYYY-MM-DD format") from err
+        raise ValueError("--as-of needs a day such as 2026-07-31") from err
 
 
 @dataclass(frozen=True)
@@ -48,10 +48,10 @@ class ReportConfig:
 
     def __post_init__(self):
         if self.top_dealer_count < 1:
-            raise ValueError("top_dealer_count must be a positive integer")
+            raise ValueError("top_dealer_count: at least 1 is needed")
         for name in ("warning_loss_ratio", "high_loss_ratio"):
             if getattr(self, name) < 0:
-                raise ValueError(f"{name} must be a non-negative number")
+                raise ValueError(f"{name}: a ratio cannot be below 0")
 
     @classmethod
     def from_args(cls, args: Sequence[str], env: Mapping[str, str] | None = None) -> ReportConfig:

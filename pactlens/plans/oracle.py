@@ -398,27 +398,27 @@ cte("eff", ["tx"], """
 
 cte("issues", ["ev", "craw"], f"""
     SELECT 'Warning' AS severity, 'Data Validation' AS category, num, agent, agent_name,
-        c_name AS dealer_name, source_id, 'Transaction forced to Cancellation because a CancelBillDate was present, despite status fields.' AS message
+        c_name AS dealer_name, source_id, 'Counted as cancelled: it has a cancellation billing date, whatever its type and status say.' AS message
     FROM ev WHERE NOT is_test AND forced
     UNION ALL
     SELECT 'Error', CASE WHEN type = 'Cancellation' THEN 'Missing Cancel Bill Date'
             ELSE 'Missing Activation Date' END, num, agent, agent_name, c_name, source_id,
         CASE WHEN type = 'Cancellation'
-            THEN 'Cancellation is excluded because metadata.CancelBillDate is blank or invalid.'
-            ELSE 'Contract transaction is excluded because metadata.ActivationDate is blank or invalid.'
+            THEN 'Left out: a cancellation without a readable cancellation billing date.'
+            ELSE 'Left out: a sale without a readable activation date.'
         END
     FROM ev WHERE NOT is_test AND activity IS NULL
     UNION ALL
     SELECT 'Error', 'Missing Contract Number', num, agent, agent_name, c_name, source_id,
-        'Contract transaction has no contract number.'
+        'The contract number is empty.'
     FROM ev WHERE NOT is_test AND activity <= {END} AND num = ''
     UNION ALL
     SELECT 'Warning', 'Unknown Transaction', num, agent, agent_name, c_name, source_id,
-        'Transaction type could not be classified and is excluded from KPIs.'
+        'Neither type nor status tells what this is, so no key figure counts it.'
     FROM ev WHERE NOT is_test AND activity <= {END} AND type = 'Unknown'
     UNION ALL
     SELECT 'Error', 'Invalid Claim Date', cnum, agent, agent_name, dealer_name, source_id,
-        'Paid claim has no usable paid or reported date.'
+        'A payment without a readable day of payment or report.'
     FROM craw WHERE (status = 'Paid' OR num = 6) AND paid <> 0 AND activity IS NULL""")
 
 _LABEL = "CASE WHEN agent_name <> '' THEN agent_name || ' (' || agent || ')' ELSE agent END"
@@ -1454,44 +1454,43 @@ _YEARS = "CASE WHEN tenure_years = floor(tenure_years) THEN CAST(CAST(tenure_yea
 _SINCE = "coalesce(strftime(first_date, '%m/%Y'), 'inception')"
 _INT = "format('{{:,}}', CAST({} AS BIGINT))"
 ORACLE["target_narratives"] = sql(["summ"], f"""
-    SELECT 'agent' AS dim, v AS dim_value, display_name || ' (' || v
-        || ') records an Inception-to-Date Earned Loss Ratio of ' || {_ONE.format('itd_lr * 100')}
-        || '% on $' || {_USD.format('itd_earned')} || ' earned reserve and $'
-        || {_USD.format('itd_claims')} || ' paid claims. Rolling 12-month volume is '
-        || {_INT.format('rolling_contracts')} || ' written contracts at a '
-        || {_ONE.format('rolling_lr * 100')} || '% loss ratio. '
-        || CASE WHEN maturity = 'Seasoned' THEN 'Operating for ' || {_YEARS} || ' years (active since '
-            || {_SINCE} || ') with ' || {_INT.format('itd_contracts')} || ' contracts and '
-            || {_ONE.format('pe')} || '% of reserves earned, Inception-to-Date experience carries high statistical credibility and '
-            || CASE WHEN itd_lr > 0.75
-                THEN 'represents seasoned adverse underwriting experience warranting review.'
-                ELSE 'represents seasoned, stable underwriting performance.' END
-        ELSE 'Operating for ' || {_YEARS} || ' years (' || tenure_months || ' months since ' || {_SINCE}
-            || ') with only ' || {_ONE.format('pe')} || '% of reserves earned ($'
-            || {_USD.format('unearned')} || ' unearned), Inception-to-Date loss ratios reflect early-cohort timing volatility rather than seasoned performance.' END
+    SELECT 'agent' AS dim, v AS dim_value, display_name || ' [' || v || ']: $'
+        || {_USD.format('itd_claims')} || ' paid against $' || {_USD.format('itd_earned')}
+        || ' of earned reserve since the first contract, a loss ratio of '
+        || {_ONE.format('itd_lr * 100')} || '%. Last twelve months: '
+        || {_INT.format('rolling_contracts')} || ' contracts written, loss ratio '
+        || {_ONE.format('rolling_lr * 100')} || '%. ' || {_YEARS} || ' years on the books ('
+        || CASE WHEN maturity = 'Seasoned' THEN 'from ' || {_SINCE} || '), '
+            || {_INT.format('itd_contracts')} || ' contracts, ' || {_ONE.format('pe')}
+            || '% of the reserve earned: the figures stand on firm ground and '
+            || CASE WHEN itd_lr > 0.75 THEN 'show a lasting loss; look into it.'
+                ELSE 'show a steady account.' END
+        ELSE tenure_months || ' months from ' || {_SINCE} || '), ' || {_ONE.format('pe')}
+            || '% of the reserve earned and $' || {_USD.format('unearned')}
+            || ' still to come: too early to judge the ratio.' END
         || CASE WHEN losing IS NOT NULL AND winning IS NOT NULL
-            THEN ' Cross-subsidization is evident: ''' || losing
-                || ''' operates in an underwriting deficit of -$' || {_USD.format('-losing_profit')}
-                || ' (' || coalesce({_ONE.format('losing_lr * 100')} || '%', 'N/A')
-                || ' loss ratio), masked and subsidized by surplus in ''' || winning || ''' (+$'
-                || {_USD.format('winning_profit')} || ').' ELSE '' END
-        || CASE WHEN top_code IS NOT NULL THEN ' Primary claim exposure is ' || top_code || ' ($'
-            || {_USD.format('top_amount')} || ' paid).' ELSE '' END AS narrative
+            THEN ' The product ' || losing || ' loses $' || {_USD.format('-losing_profit')}
+                || ' (loss ratio ' || coalesce({_ONE.format('losing_lr * 100')} || '%', 'unknown')
+                || '), which the $' || {_USD.format('winning_profit')} || ' gained with ' || winning
+                || ' helps to hide.' ELSE '' END
+        || CASE WHEN top_code IS NOT NULL THEN ' Most is paid for ' || top_code || ': $'
+            || {_USD.format('top_amount')} || '.' ELSE '' END AS narrative
     FROM summ""")
-ORACLE["portfolio_narrative"] = sql(["a_all", "agx"], f"""
-    SELECT 'Sample Protection''s portfolio maintains an Inception-to-Date Earned Loss Ratio of '
-        || {_ONE.format('i.earned_loss_ratio * 100')} || '% across '
-        || {_INT.format('i.contracts_written')}
-        || ' contracts, with cumulative underwriting profit standing at $'
-        || {_USD.format('i.underwriting_profit')}
-        || '. Over the rolling 12 months, written volume totaled '
-        || {_INT.format('x.contracts_written')} || ' contracts at a '
-        || {_ONE.format('x.earned_loss_ratio * 100')} || '% loss ratio ('
-        || CASE WHEN x.earned_loss_ratio > i.earned_loss_ratio THEN 'above' ELSE 'below' END
-        || ' inception levels), generating $' || {_USD.format('x.underwriting_profit')}
-        || ' in rolling underwriting profit.'
-        || coalesce((SELECT ' Primary seasoned loss variance is driven by ' || display_name || ' ('
-            || {_ONE.format('lr * 100')} || '% loss ratio on $' || {_USD.format('claims_paid')}
-            || ' claims).' FROM agx ORDER BY lr DESC, net_admin DESC, net_reserve DESC, v LIMIT 1), '')
+tenured("agxt", "agxd", "contracts_written", 50)
+cte("agxd", ["agx", "firsts"], """
+    SELECT agx.*, least(a.first_date, b.first_date) AS first_date FROM agx
+    LEFT JOIN firsts a ON a.k = lower(agx.v) LEFT JOIN firsts b ON b.k = lower(agx.display_name)""")
+ORACLE["portfolio_narrative"] = sql(["a_all", "agxt"], f"""
+    SELECT 'Sample Protection since inception: ' || {_INT.format('i.contracts_written')}
+        || ' contracts, loss ratio ' || {_ONE.format('i.earned_loss_ratio * 100')}
+        || '%, underwriting profit $' || {_USD.format('i.underwriting_profit')}
+        || '. Last twelve months: ' || {_INT.format('x.contracts_written')}
+        || ' contracts, loss ratio ' || {_ONE.format('x.earned_loss_ratio * 100')} || '% ('
+        || CASE WHEN x.earned_loss_ratio > i.earned_loss_ratio THEN 'up on' ELSE 'no worse than' END
+        || ' the whole time), underwriting profit $' || {_USD.format('x.underwriting_profit')} || '.'
+        || coalesce((SELECT ' Agent with the highest loss ratio: ' || display_name
+            || CASE WHEN tenure_years > 0 THEN ', ' || {_YEARS} || ' years on the books' ELSE '' END
+            || ', ' || {_ONE.format('lr * 100')} || '% on $' || {_USD.format('claims_paid')}
+            || ' of claims.' FROM agxt ORDER BY lr DESC, net_admin DESC, net_reserve DESC, v LIMIT 1), '')
         AS narrative
     FROM a_all i, a_all x WHERE i.period_id = 'inception' AND x.period_id = 'rolling12'""")

@@ -773,7 +773,8 @@ def target_narratives(r):
 
 @on_report
 def portfolio_narrative(r):
-    return it.portfolio_narrative(r.metrics, it.risk_extremes(r.dimension("agent", "inception")), CFG)
+    worst = it.risk_extremes(r.dimension("agent", "inception"))
+    return it.portfolio_narrative(r.metrics, worst, r.transactions, CFG)
 
 
 @on_report
