@@ -34,6 +34,14 @@ def quoted(*values: str) -> str:
     return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
 
 
+def unwrapped(value: str) -> str:
+    """Text of a value; of an extended-JSON object (number or date) the value it holds (SQL text)."""
+    at = lambda key: f"get_json_object({value}, '$.{key}')"
+    moment = f"cast(timestamp_millis(try_cast({at('$date.$numberLong')} AS bigint)) AS string)"
+    held = [moment, *[at(k) for k in ("$date", "$numberDecimal", "$numberDouble", "$numberLong", "$numberInt")]]
+    return f"CASE WHEN startswith({value}, '{{\"$') THEN coalesce({', '.join(held)}) ELSE {value} END"
+
+
 def text(value: str) -> str:
     """Trimmed text, empty for NULL. Blanks of all kinds are taken off both ends."""
     return f"coalesce({trimmed(f'cast({value} AS string)')}, '')"

@@ -1494,3 +1494,19 @@ ORACLE["portfolio_narrative"] = sql(["a_all", "agxt"], f"""
             || ' of claims.' FROM agxt ORDER BY lr DESC, net_admin DESC, net_reserve DESC, v LIMIT 1), '')
         AS narrative
     FROM a_all i, a_all x WHERE i.period_id = 'inception' AND x.period_id = 'rolling12'""")
+
+# ---- by way of documents
+
+for _document, _direct in (("document_contracts", "contract_normalize"), ("document_claims", "claim_normalize"),
+                           ("document_audits", "latest_audit"), ("document_pricing", "dealer_coverage")):
+    ORACLE[_document] = ORACLE[_direct]
+ORACLE["document_contracts_from"] = sql(["rows2"], f"""
+    SELECT source_id, {t('activity')} AS activity_date, {r('reserve')} AS reserve_amount
+    FROM rows2 WHERE feed = 0 AND eff >= DATE '2000-01-01'""")
+ORACLE["stored_tables"] = sql(["ev", "craw"], f"""
+    SELECT 'contracts' AS name, {n("""count(*) FILTER (WHERE activity IS NOT NULL)
+        + count(*) FILTER (WHERE feed = 1 AND activation IS NOT NULL)""")} AS n, {n('0')} AS lost
+    FROM ev WHERE NOT is_test
+    UNION ALL SELECT 'claims', {n('count(*)')}, {n('0')} FROM craw
+    WHERE (status = 'Paid' OR num = 6) AND paid <> 0 AND activity IS NOT NULL
+    UNION ALL SELECT 'audits', {n('3')}, {n('0')}""")

@@ -23,7 +23,7 @@ from pactlens.plans.present import present
 from pactlens.plans.report import Report
 from pactlens.session import configure, scratch_path
 from pactlens.sources import mapping as mp
-from pactlens.sources import readers, writers
+from pactlens.sources import documents, readers, writers
 from pactlens.sources.schemas import PII_FIELDS
 
 CFG = mp.CONFIG
@@ -191,6 +191,76 @@ def sql_parameterised(spark, sf_dir):
     )
 
 
+# ---- the same rows by way of JSON documents
+
+
+def _document_report(r: Report, activated_from: date | None = None) -> Report:
+    """The report over the documents written as JSON and read again."""
+    folder = scratch_path(r.spark, "documents")
+    for feed, name in ((0, "contracts"), (1, "cancellations")):
+        documents.write_contract_documents(r.contract_documents.where(f"feed = {feed}"), f"{folder}/{name}")
+    documents.write_claim_documents(r.claim_documents, f"{folder}/claims")
+    r.audits.write.json(f"{folder}/audits")
+    contracts = readers.read_contracts(r.spark, f"{folder}/contracts", activated_from)
+    return Report(
+        r.spark, r.cfg,
+        contracts.unionByName(readers.read_cancellations(r.spark, f"{folder}/cancellations")),
+        readers.read_claims(r.spark, f"{folder}/claims"),
+        readers.read_audits(r.spark, f"{folder}/audits"),
+    )
+
+
+@on_report
+def document_contracts(r):
+    return contract_normalize(_document_report(r))
+
+
+@on_report
+def document_contracts_from(r):
+    """Contract documents activated from a day on; cancellations are always read."""
+    rows = _document_report(r, date(2000, 1, 1)).contract_rows
+    return rows.where("feed = 0").select("source_id", "activity_date", "reserve_amount")
+
+
+@on_report
+def document_claims(r):
+    return claim_normalize(_document_report(r))
+
+
+@on_report
+def document_audits(r):
+    return latest_audit(_document_report(r))
+
+
+@on_tables
+def document_pricing(spark, sf_dir):
+    path = scratch_path(spark, "pricing-documents")
+    documents.write_pricing_documents(mp.pricing_documents(spark, sf_dir), path)
+    rows = pr.priced(readers.read_pricing(spark, path), CFG)
+    return pr.dealer_coverage(rows.where("in_market"))
+
+
+@on_report
+def stored_tables(r):
+    """Normalised contracts, claims and audits written and read back: all columns, no row lost."""
+    folder = scratch_path(r.spark, "stored")
+    audits = readers.latest_audits(r.audits)
+    writers.write_rows(r.all_contract_rows, f"{folder}/contracts")
+    writers.write_rows(r.all_claim_rows, f"{folder}/claims")
+    writers.write_audits(audits, f"{folder}/audits")
+    counted = []
+    tables = {"contracts": r.all_contract_rows, "claims": r.all_claim_rows, "audits": writers.flatten_audits(audits)}
+    for name, before in tables.items():
+        back = r.spark.read.parquet(f"{folder}/{name}").select(*before.columns)
+        # maps cannot be compared as they are
+        plain = lambda df: df.select(F.to_json(F.struct(*df.columns)).alias("row"))
+        lost = plain(before).exceptAll(plain(back)).agg(F.count("*").alias("lost"))
+        counted.append(
+            back.agg(F.count("*").alias("n")).crossJoin(F.broadcast(lost)).select(F.lit(name).alias("name"), "n", "lost")
+        )
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 # ---- normalisation
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pactlens.functions.calendar import sql_date
-from pactlens.functions.scalars import lenient_date, lenient_number, lenient_timestamp
+from pactlens.functions.scalars import lenient_date, lenient_number, lenient_timestamp, unwrapped
 from pactlens.sources import schemas as S
 
 
@@ -28,12 +28,16 @@ def drop_pii(df: DataFrame) -> DataFrame:
     return df
 
 
+_STRING = "'string'"
+
+
 def _read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("singleVariantColumn", "doc").json(path)
 
 
 def _string_at(*paths: str) -> Column:
-    return F.coalesce(*[F.try_variant_get("doc", p, "string") for p in paths])
+    quoted = ["'" + p.replace("'", "\\'") + "'" for p in paths]
+    return F.expr(unwrapped(f"coalesce({', '.join(f'try_variant_get(doc, {p}, {_STRING})' for p in quoted)})"))
 
 
 def _document_id() -> Column:
@@ -49,18 +53,21 @@ def _arrival(docs: DataFrame) -> Column:
     return F.coalesce(F.try_variant_get("doc", "$.ingest_ord", "bigint"), place)
 
 
+_TEXT = "try_variant_get(a, '$', 'string')"
+
+
 def _amounts(path: str) -> Column:
     """``map<category, map<component, text>>``; a category that is no object becomes empty."""
     return F.expr(
         f"transform_values(try_variant_get(doc, '{path}', 'map<string,variant>'), (c, v) ->"
         " transform_values(coalesce(try_variant_get(v, '$', 'map<string,variant>'), map()),"
-        " (n, a) -> try_variant_get(a, '$', 'string')))"
+        f" (n, a) -> {unwrapped(_TEXT)}))"
     )
 
 
 def _earning_curve() -> Column:
     raw = "try_variant_get(doc, '$.CalculatedFields.EarningCurve.schedule', 'map<string,variant>')"
-    factor = "try_variant_get(v, '$.cumulativeFactor', 'string')"
+    factor = unwrapped("try_variant_get(v, '$.cumulativeFactor', 'string')")
     return F.expr(
         f"transform_values(transform_keys(map_filter({raw},"
         " (k, v) -> try_cast(k AS int) IS NOT NULL), (k, v) -> cast(k AS int)),"
@@ -134,7 +141,7 @@ def _count(value: str) -> str:
 def latest_audits(audits: DataFrame) -> DataFrame:
     """Newest audit record of each job type, normalised and flattened."""
     fields = [c for c in audits.columns if c != "jobType"]
-    executed = lenient_timestamp("executionTimestamp")
+    executed = lenient_timestamp(f"({unwrapped('executionTimestamp')})")
     newest = (
         audits.where("jobType IN ('Contract', 'Cancel', 'Claim')")
         .groupBy("jobType")

@@ -235,6 +235,31 @@ def test_audits_are_normalised(spark, tmp_path):
     assert (rows["Contract"].status, rows["Contract"].unique_units) == ("PASSED", 3)
 
 
+def test_extended_json_values(spark, tmp_path):
+    path = tmp_path / "contracts.json"
+    doc = (
+        '{"_id":{"$oid":"64b0c0a0c0a0c0a0c0a0c0a0"},"metadata":{"Contract#":"C1","ActivationDate":%s,'
+        '"EffectiveDate":{"$date":{"$numberLong":"1783468800000"}}},'
+        '"WrittenAmount":{"ADMIN":{"BASEADMIN":{"$numberDecimal":"12.5"},"X":{"$numberInt":"3"}}},'
+        '"CalculatedFields":{"EarningCurve":{"schedule":{"1":{"cumulativeFactor":{"$numberDouble":"0.25"}}}}}}\n'
+    )
+    path.write_text(doc % '{"$date":"2026-07-05T00:00:00Z"}' + doc % '"7/5/2026"')
+    from pactlens.operators import normalize as nz
+
+    cfg = ReportConfig(as_of=date(2026, 8, 1))
+    rows = nz.normalize_contracts(nz.evaluate_contracts(readers.read_contracts(spark, str(path))), cfg).collect()
+    assert len(rows) == 2
+    for r in rows:
+        assert (str(r.activity_date), str(r.effective_date)) == ("2026-07-05", "2026-07-08")
+        assert str(r.admin_amount) == "15.5000" and str(r.earning_schedule[1]) == "0.2500000000"
+    audits = tmp_path / "audits.json"
+    audits.write_text(
+        '{"_id":"1","jobType":"Claim","executionTimestamp":{"$date":"2026-08-01T01:00:00Z"},"counts":{"portalCount":1}}\n'
+        '{"_id":"2","jobType":"Claim","executionTimestamp":{"$date":"2026-07-01T01:00:00Z"},"counts":{"portalCount":2}}\n'
+    )
+    assert readers.latest_audits(readers.read_audits(spark, str(audits))).first().portal_count == 1
+
+
 def test_narratives_read_as_sentences(rep, spark):
     rows = QUERIES["target_narratives"](spark, SF).collect()
     assert len(rows) == rep.dimensions.where("dim = 'agent'").select("dim_value").distinct().count()
