@@ -8,7 +8,7 @@ which of those places the final encoding uses. A state of the determinised machi
 that are still alive: for each, the tokens since the last place all of them share, and the token
 prefix read from there. When an alive place is left, the tokens common to all the others are emitted.
 No token is longer than the longest one of the vocabulary, so the lookahead is bounded by it.
-States and transitions are made when they are first needed and dropped together when there are
+States and transitions are made when they are needed again and dropped together when there are
 ``MOST_STATES``; that changes the time taken and nothing else.
 
 Rows: null text is empty (no tokens); a null doc_id is passed on; repeated rows are encoded alike;
@@ -31,6 +31,7 @@ from pactlens.llm import common as c
 
 MOST_STATES = 200_000
 REMEMBERED_PIECES = 300_000
+SHORT_PIECE = 64
 
 
 def default_vocabulary() -> str:
@@ -144,7 +145,7 @@ class Transducer:
         start = (((), -1, 0),)
         self.number = {start: 0}
         self.states = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self.steps: list[dict[int, tuple[int, tuple[int, ...]] | None]] = [{}]
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         words = self.words
@@ -176,14 +177,53 @@ class Transducer:
         self.steps[state][byte] = out
         return out
 
+    def _undetermined(self, state: int, rest: bytes) -> list[int]:
+        """Tokens from a state to the end of a piece without making states on the way."""
+        below, ends, fits = self.words.below, self.words.ends, self.words.fits
+        places = []
+        for pending, last, node in self.states[state]:
+            chain = None
+            for token in pending:
+                chain = (token, chain)
+            places.append((chain, last, node))
+        for byte in rest:
+            alive, ended = [], None
+            for chain, last, node in places:
+                node = below[node].get(byte, -1)
+                if node < 0:
+                    continue
+                token = ends[node]
+                if token >= 0 and ended is None and fits(last, token):
+                    ended = ((token, chain), token, 0)
+                if below[node]:
+                    alive.append((chain, last, node))
+            if ended is None:
+                raise ValueError("the vocabulary lacks a single byte")
+            alive.append(ended)
+            places = alive
+        chain, out = places[-1][0], []
+        while chain is not None:
+            token, chain = chain
+            out.append(token)
+        out.reverse()
+        return out
+
     def encode(self, piece: bytes) -> list[int]:
-        """Tokens of one piece; emitted as soon as no later byte can change them."""
+        """Tokens of one piece; emitted as soon as no later byte can change them.
+
+        A step is taken into the machine when it is asked for the second time: most words are rare,
+        and what only they need is worked out without it. Long pieces always use the machine, whose
+        state does not grow with what has been read.
+        """
         if len(self.states) > MOST_STATES:
             self._clear()
         state, out, steps = 0, [], self.steps
-        for byte in piece:
+        for i, byte in enumerate(piece):
             found = steps[state].get(byte)
             if found is None:
+                if byte not in steps[state] and len(piece) <= SHORT_PIECE:
+                    steps[state][byte] = None
+                    return out + self._undetermined(state, piece[i:])
                 found = self._step(state, byte)
             state, tokens = found
             if tokens:
@@ -287,6 +327,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, pattern: str | No
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(path, split)
+        names = {rank: str(rank) for rank in encoder.vocabulary.token}
         for batch in batches:
             raw, offsets = c.buffers(batch.column("text"))
             for i, j, part, at in c.slices(raw, offsets):
@@ -295,7 +336,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, pattern: str | No
                 for a, b in zip(ends[:-1], ends[1:], strict=True):
                     ids = encoder.encode(data[a:b].decode())
                     counts.append(len(ids))
-                    of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    of_ids.append(hashlib.sha256(",".join([names[x] for x in ids]).encode()).hexdigest())
                     back = hashlib.sha256()
                     for text in decode(encoder.vocabulary, ids):
                         back.update(text)
