@@ -264,6 +264,48 @@ def sql_service_claims(rows: DataFrame) -> DataFrame:
     return latest_by(keyed, ["_key"], ["snapshot_ts", "ingest_ord", "source_id"]).drop("_key")
 
 
+def entity_keys(dimensions: DataFrame) -> DataFrame:
+    """(dim, entity, key): the codes and names, in upper case, under which an entity has rows.
+
+    Dealers are entities under their code and under their display name, agents under their code.
+    Each has the rows of its code and of its display name. A display name that several dealers
+    share stands for the last of them in the ranking.
+    """
+    known = dimensions.where("dim <> 'product' AND period_id = 'inception'").selectExpr(
+        "dim", "dim_value", "coalesce(display_name, '') AS display_name",
+        "struct(-net_admin AS a, -net_reserve AS r, dim_value AS v) AS place",
+    )
+    codes = known.selectExpr("dim", "dim_value AS entity", "explode(array(dim_value, display_name)) AS key")
+    names = (
+        known.where("dim = 'dealer' AND display_name <> ''")
+        .groupBy("dim", F.col("display_name").alias("entity"))
+        .agg(F.max_by("dim_value", "place").alias("code"))
+        .selectExpr("dim", "entity", "explode(array(entity, code)) AS key")
+    )
+    return (
+        codes.unionByName(names)
+        .selectExpr("dim", "entity", f"upper({s.trimmed('key')}) AS key")
+        .where("key <> ''")
+        .distinct()
+    )
+
+
+def entity_rows(rows: DataFrame, keys: DataFrame, dim: str, code: str, name: str) -> DataFrame:
+    """Each row once for every entity it belongs to by its code or by its name.
+
+    The entities of one key are gathered before the join, so that a row found by both its code and
+    its name is not repeated and nothing has to be made distinct afterwards.
+    """
+    own = keys.where(F.col("dim") == dim).groupBy("key").agg(F.collect_set("entity").alias("entities"))
+    for i, column in enumerate((code, name)):
+        side = own.select(F.col("key").alias(f"key_{i}"), F.col("entities").alias(f"entities_{i}"))
+        rows = rows.join(side, F.expr(f"upper({s.trimmed(column)}) = key_{i}"), "left")
+    both = "array_union(coalesce(entities_0, array()), coalesce(entities_1, array()))"
+    return rows.selectExpr("*", f"explode({both}) AS entity").drop(
+        "key_0", "key_1", "entities_0", "entities_1"
+    )
+
+
 def entity_fanout(df: DataFrame, columns: list[str]) -> DataFrame:
     """A row for each entity it is known under, by code or by name, in upper case."""
     names = ", ".join(f"upper(trim({c}))" for c in columns)

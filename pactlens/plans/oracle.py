@@ -638,9 +638,27 @@ ORACLE["undeclared_components"] = sql(["txc"], f"""
 
 _W = "sum(CASE WHEN type = 'Cancellation' THEN 0 ELSE amt END)"
 _C = "sum(CASE WHEN type = 'Cancellation' THEN -abs(amt) ELSE 0 END)"
-ORACLE["component_buckets"] = sql(["txc"], f"""
-    SELECT agent, cat AS category, comp AS component, {r(_W)} AS written, {r(_C)} AS cancelled,
-        {r(f'{_W} + {_C}')} AS net FROM txc GROUP BY agent, cat, comp""")
+cte("ek0", ["dims"], """
+    SELECT dim, v, coalesce(display_name, '') AS shown, net_admin, net_reserve FROM dims
+    WHERE dim <> 'product' AND period_id = 'inception'""")
+cte("ek", ["ek0"], """
+    SELECT dim, entity, upper(trim(key)) AS key FROM (
+        SELECT dim, v AS entity, v AS key FROM ek0
+        UNION SELECT dim, v, shown FROM ek0
+        UNION SELECT dim, shown, shown FROM ek0 WHERE dim = 'dealer'
+        UNION SELECT dim, shown, arg_max(v, (-net_admin, -net_reserve, v)) FROM ek0
+            WHERE dim = 'dealer' GROUP BY 1, 2)
+    WHERE entity <> '' AND trim(key) <> '' GROUP BY ALL""")
+for _dim in ("dealer", "agent"):
+    for _rows in ("tx", "cl", "txc"):
+        cte(f"{_rows}_{_dim}", [_rows, "ek"], f"""
+            SELECT DISTINCT ek.entity, t.* FROM {_rows} t JOIN ek
+            ON ek.dim = '{_dim}' AND ek.key IN (upper(t.{_dim}), upper(t.{_dim}_name))""")
+ORACLE["component_buckets"] = sql(["txc_dealer", "txc_agent"], " UNION ALL ".join(f"""
+    SELECT '{x}' AS dim, entity, cat AS category, comp AS component, {r(_W)} AS written,
+        {r(_C)} AS cancelled, {r(f'{_W} + {_C}')} AS net FROM txc_{x} GROUP BY entity, cat, comp"""
+    for x in ("dealer", "agent")))
+ORACLE["entity_keys"] = sql(["ek"], "SELECT dim, entity, key FROM ek")
 cte("act", ["tx"], """
     SELECT num FROM tx QUALIFY row_number() OVER (PARTITION BY num ORDER BY seen DESC, place DESC) = 1
         AND cstatus = 'A' AND type <> 'Cancellation'""")
@@ -703,7 +721,9 @@ ORACLE["entity_fanout"] = sql(["tx"], f"""
         UNION SELECT upper(agent_name), source_id, reserve FROM tx) GROUP BY 1""")
 ORACLE["entity_union"] = sql(["dims"], """
     SELECT dim, v AS dim_value, string_agg(period_id, ',' ORDER BY period_id) AS horizons
-    FROM dims WHERE dim <> 'product' GROUP BY 1, 2""")
+    FROM (SELECT dim, v, period_id FROM dims WHERE dim <> 'product'
+        UNION SELECT dim, display_name, period_id FROM dims WHERE dim = 'dealer' AND display_name <> '')
+    GROUP BY 1, 2""")
 ORACLE["effective_lookup"] = sql(["eff"], f"""
     SELECT num AS contract_number, {t('eff')} AS effective_date FROM eff""")
 
@@ -941,24 +961,21 @@ cte("reachp", ["reach", "wlookup"], """
 figures("fig_all", "tx", "clp", "")
 figures("fig_mine", "mine", "reachp", "")
 
-cte("tx_ent", ["tx"], """
-    SELECT upper(dealer) AS entity, * FROM tx UNION SELECT upper(dealer_name), * FROM tx""")
-cte("ent_own", ["tx_ent"], """
-    SELECT entity, num, arg_max(product, place) AS product FROM tx_ent
-    WHERE num <> '' AND type <> 'Cancellation' GROUP BY 1, 2""")
-cte("cl_ent", ["cl", "ent_own"], """
-    SELECT e.*, coalesce(o.product, 'Unmapped Product Type') AS cprod
-    FROM (SELECT upper(dealer) AS entity, * FROM cl UNION
-        SELECT upper(dealer_name), * FROM cl WHERE dealer_name <> '') e
-    LEFT JOIN ent_own o ON e.entity = o.entity AND e.cnum = o.num""")
-figures("fig_ent", "tx_ent", "cl_ent", "entity")
+for _dim in ("dealer", "agent"):
+    cte(f"own_{_dim}", [f"tx_{_dim}"], f"""
+        SELECT entity, num, arg_max(product, place) AS product FROM tx_{_dim}
+        WHERE num <> '' AND type <> 'Cancellation' GROUP BY 1, 2""")
+    cte(f"clp_{_dim}", [f"cl_{_dim}", f"own_{_dim}"], f"""
+        SELECT e.*, coalesce(o.product, 'Unmapped Product Type') AS cprod
+        FROM cl_{_dim} e LEFT JOIN own_{_dim} o ON e.entity = o.entity AND e.cnum = o.num""")
+    figures(f"fig_{_dim}", f"tx_{_dim}", f"clp_{_dim}", "entity")
 
 _FIG = ", ".join(
     [f"{n(c)} AS {c}" for c in ("written_contracts", "cancelled_contracts", "net_contracts")]
     + [f"{r(c)} AS {c}" for c in ("written_reserve", "cancelled_reserve", "net_reserve",
                                   "earned_reserve", "claims_paid", "uw_profit")])
-ORACLE["product_buckets"] = sql(["fig_ent"], f"""
-    SELECT entity, product, {_FIG},
+ORACLE["product_buckets"] = sql(["fig_dealer", "fig_agent"], " UNION ALL ".join(f"""
+    SELECT '{x}' AS dim, entity, product, {_FIG},
         round(CASE WHEN net_reserve > 0 THEN {d('earned_reserve')} / {d('net_reserve')} ELSE 0 END
             * 100, 2) AS percent_earned,
         round(CASE WHEN earned_reserve > 0 THEN {d('claims_paid')} / {d('earned_reserve')} ELSE 0 END
@@ -966,7 +983,7 @@ ORACLE["product_buckets"] = sql(["fig_ent"], f"""
         CASE WHEN earned_reserve > 0 AND {d('claims_paid')} / {d('earned_reserve')} * 100 > 100
             THEN 'CRITICAL LOSS' WHEN uw_profit < 0 THEN 'LOSS DEFICIT' ELSE 'PROFIT SURPLUS' END
             AS status
-    FROM fig_ent""")
+    FROM fig_{x}""" for x in ("dealer", "agent")))
 _RATIOS = (f"{div('earned_reserve', 'net_reserve')} AS percent_earned,"
            f" {div('claims_paid', 'earned_reserve')} AS loss_ratio")
 _SUMFIG = ", ".join(f"sum({c}) AS {c}" for c in (
@@ -1060,10 +1077,9 @@ ORACLE["visible_segments"] = sql(["lcr"], f"""
     SELECT code AS loss_code, description, {r('rp')} AS rolling12_paid,
         {r(f"{d('rp')} / {d('sum(rp) OVER ()')}")} AS segment_share
     FROM lcr WHERE share >= 0.02 AND rp > 0""")
-cte("dcodes", ["cl"], """
+cte("dcodes", ["cl_dealer"], """
     SELECT entity, code, count(*) AS k, sum(paid) AS p, arg_min(descr, (place, source_id)) AS descr
-    FROM (SELECT upper(dealer) AS entity, * FROM cl
-        UNION SELECT upper(dealer_name), * FROM cl WHERE dealer_name <> '') GROUP BY 1, 2""")
+    FROM cl_dealer GROUP BY 1, 2""")
 ORACLE["top_loss_codes_per_dealer"] = sql(["dcodes"], f"""
     SELECT entity, code AS loss_code, {n('k')} AS line_count, {r('p')} AS total_paid,
         descr AS description, {n('rk')} AS rank

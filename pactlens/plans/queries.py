@@ -409,7 +409,11 @@ def undeclared_components(r):
 
 @on_report
 def component_buckets(r):
-    return ct.component_buckets(r.transactions, ["agent"])
+    tables = [
+        ct.component_buckets(_entity_tables(r, dim)[0], ["entity"]).withColumn("dim", F.lit(dim))
+        for dim in ("dealer", "agent")
+    ]
+    return tables[0].unionByName(tables[1])
 
 
 @on_report
@@ -496,10 +500,19 @@ def entity_fanout(r):
     )
 
 
+@on_report
+def entity_keys(r):
+    return r.entity_keys
+
+
 @on_report
 def entity_union(r):
-    """Every dealer and agent seen in any horizon, with the horizons it was seen in."""
-    return r.dimensions.where("dim <> 'product'").groupBy("dim", "dim_value").agg(
+    """Every dealer, by code and by display name, and agent seen, with the horizons it was seen in."""
+    names = "if(dim = 'dealer', array_distinct(array(dim_value, display_name)), array(dim_value))"
+    rows = r.dimensions.where("dim <> 'product'").selectExpr(
+        "dim", f"explode(filter({names}, x -> x <> '')) AS dim_value", "period_id"
+    )
+    return rows.groupBy("dim", "dim_value").agg(
         F.expr("array_join(array_sort(collect_set(period_id)), ',') AS horizons")
     )
 
@@ -656,6 +669,15 @@ def product_mix(r):
     return dm.product_mix(r.dimension("product", "inception"))
 
 
+def _entity_tables(r: Report, dim: str) -> tuple[DataFrame, DataFrame]:
+    """Transactions and claims of every entity of a dimension."""
+    code = "dealer_number" if dim == "dealer" else "agent"
+    return (
+        r.of_entities(r.transactions, dim, code, f"{dim}_name"),
+        r.of_entities(r.claims, dim, dim, f"{dim}_name"),
+    )
+
+
 def _agent_products(r: Report) -> DataFrame:
     claims = dm.claim_products(r.claims, r.transactions, [])
     return dm.product_figures(r.transactions, claims, [])
@@ -663,11 +685,14 @@ def _agent_products(r: Report) -> DataFrame:
 
 @on_report
 def product_buckets(r):
-    """Product table of every dealer, known by number or by name."""
-    tx = dd.entity_fanout(r.transactions, ["dealer_number", "dealer_name"])
-    claims = dd.entity_fanout(r.claims, ["dealer", "dealer_name"])
-    claims = dm.claim_products(claims, tx, ["entity"])
-    return dm.product_buckets(dm.product_figures(tx, claims, ["entity"]))
+    """Product table of every dealer and agent, known by code or by name."""
+    tables = []
+    for dim in ("dealer", "agent"):
+        tx, claims = _entity_tables(r, dim)
+        claims = dm.claim_products(claims, tx, ["entity"])
+        figures = dm.product_buckets(dm.product_figures(tx, claims, ["entity"]))
+        tables.append(figures.withColumn("dim", F.lit(dim)))
+    return tables[0].unionByName(tables[1])
 
 
 @on_report
@@ -736,8 +761,7 @@ def visible_segments(r):
 
 @on_report
 def top_loss_codes_per_dealer(r):
-    rows = dd.entity_fanout(r.claims, ["dealer", "dealer_name"])
-    return lc.top_codes_per_entity(rows, "entity", TOP_CODES)
+    return lc.top_codes_per_entity(_entity_tables(r, "dealer")[1], "entity", TOP_CODES)
 
 
 @on_report

@@ -129,6 +129,13 @@ class Report:
         """Dealer, agent and product metrics of the four horizons, written once for all users."""
         return self._keep(self.dimension_table(dm.DIMENSIONS), "dimensions")
 
+    @cached_property
+    def entity_keys(self) -> DataFrame:
+        return self._keep(dd.entity_keys(self.dimensions), "entity-keys")
+
+    def of_entities(self, rows: DataFrame, dim: str, code: str, name: str) -> DataFrame:
+        return dd.entity_rows(rows, self.entity_keys, dim, code, name)
+
     def dimension(self, dim: str, period_id: str) -> DataFrame:
         return self.dimensions.where(f"dim = '{dim}' AND period_id = '{period_id}'")
 
