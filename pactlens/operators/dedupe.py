@@ -49,7 +49,7 @@ def contract_ledger(rows: DataFrame, carry: list[str] = ALL) -> DataFrame:
     ``w`` is the non-cancelled side, or the written reference when there is none; ``k`` is the
     cancelled side. ``w_place`` and ``k_place`` are the rows' places in the transaction list.
     """
-    newest = "max_by(doc, struct(snapshot_ts, ingest_ord))"
+    newest = "max_by(doc, struct(snapshot_ts, ingest_ord, source_id))"
     sides = (
         rows.selectExpr(
             "feed",
@@ -57,6 +57,7 @@ def contract_ledger(rows: DataFrame, carry: list[str] = ALL) -> DataFrame:
             "coalesce(nullif(contract_number, ''), source_id) AS ledger_key",
             "snapshot_ts",
             "ingest_ord",
+            "source_id",
             f"struct({', '.join(dict.fromkeys(['snapshot_ts', 'transaction_type', *carry]))}) AS doc",
         )
         .groupBy("ledger_key")
@@ -64,7 +65,7 @@ def contract_ledger(rows: DataFrame, carry: list[str] = ALL) -> DataFrame:
             F.max("contract_number").alias("contract_number"),
             F.expr(f"{newest} FILTER (WHERE feed = 0) AS c"),
             F.expr(f"{newest} FILTER (WHERE feed = 1) AS x"),
-            F.expr("min_by(doc, ingest_ord) FILTER (WHERE feed = 2) AS r"),
+            F.expr("min_by(doc, struct(ingest_ord, source_id)) FILTER (WHERE feed = 2) AS r"),
             F.expr("min(ingest_ord) FILTER (WHERE feed = 0) AS c_ord"),
             F.expr("min(ingest_ord) FILTER (WHERE feed = 1) AS x_ord"),
             F.expr("min(ingest_ord) FILTER (WHERE feed = 2) AS r_ord"),
@@ -228,13 +229,15 @@ def _of_w(fields: list[str]) -> str:
 def _one_per_number(df: DataFrame, fields: list[str]) -> DataFrame:
     """A row per contract number.
 
-    A numbered contract has one ledger row already, so the aggregation changes nothing for it;
-    the blank ones are combined before the shuffle.
+    A numbered contract has one ledger row already and passes through; only the blank ones are
+    aggregated, and combined before their shuffle.
     """
+    rows = df.selectExpr("contract_number", f"struct({_of_w(fields)}) AS found", "w_place")
+    blank = rows.where("contract_number = ''").groupBy("contract_number")
     return (
-        df.selectExpr("contract_number", f"struct({_of_w(fields)}) AS found", "w_place")
-        .groupBy("contract_number")
-        .agg(F.max_by("found", "w_place").alias("found"))
+        rows.where("contract_number <> ''")
+        .drop("w_place")
+        .unionByName(blank.agg(F.max_by("found", "w_place").alias("found")))
     )
 
 

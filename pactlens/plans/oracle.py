@@ -1526,3 +1526,16 @@ ORACLE["stored_tables"] = sql(["ev", "craw"], f"""
     UNION ALL SELECT 'claims', {n('count(*)')}, {n('0')} FROM craw
     WHERE (status = 'Paid' OR num = 6) AND paid <> 0 AND activity IS NOT NULL
     UNION ALL SELECT 'audits', {n('3')}, {n('0')}""")
+
+ORACLE["entity_snapshot_parts"] = sql(
+    ["dims", "dcodes", "fig_dealer", "fig_agent", "txc_dealer", "txc_agent"], f"""
+    SELECT part, '2001-06-30' AS as_of, dim, {n('count(*)')} AS n, {r('sum(amount)')} AS amount FROM (
+        SELECT 'horizons' AS part, dim, v, sum(CASE WHEN period_id = 'inception' THEN net_reserve END) AS amount
+        FROM dims WHERE dim <> 'product' GROUP BY 1, 2, 3
+        UNION ALL SELECT 'loss_codes', 'dealer', code, p FROM (SELECT *, row_number() OVER (
+            PARTITION BY entity ORDER BY p DESC, code) AS rk FROM dcodes) WHERE rk <= 15
+        UNION ALL SELECT 'products', 'dealer', product, net_reserve FROM fig_dealer
+        UNION ALL SELECT 'products', 'agent', product, net_reserve FROM fig_agent
+        UNION ALL SELECT 'components', 'dealer', comp, {_W} + {_C} FROM txc_dealer GROUP BY entity, cat, comp
+        UNION ALL SELECT 'components', 'agent', comp, {_W} + {_C} FROM txc_agent GROUP BY entity, cat, comp)
+    GROUP BY part, dim""")

@@ -160,6 +160,32 @@ def entity_snapshot_upsert(r):
     )
 
 
+@on_report
+def entity_snapshot_parts(r):
+    """The drill-down of every dealer and agent as one dated table per part."""
+    folder = scratch_path(r.spark, "entity-parts")
+    parts = {
+        "horizons": dm.entity_drilldown(r.dimensions.where("dim <> 'product'")),
+        "loss_codes": top_loss_codes_per_dealer(r).withColumn("dim", F.lit("dealer")),
+        "products": product_buckets(r),
+        "components": component_buckets(r),
+    }
+    amounts = {
+        "horizons": "inception.net_reserve", "loss_codes": "total_paid", "products": "net_reserve",
+        "components": "net",
+    }
+    counted = []
+    for name, rows in parts.items():
+        writers.upsert_snapshot(rows, f"{folder}/{name}", date(2001, 6, 30))
+        back = r.spark.read.parquet(f"{folder}/{name}")
+        counted.append(
+            back.groupBy(F.lit(name).alias("part"), "as_of", "dim").agg(
+                F.count("*").alias("n"), F.expr(f"sum({amounts[name]})").alias("amount")
+            )
+        )
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
 @on_tables
 def csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")
@@ -606,17 +632,18 @@ def reconciliation_steps(r):
 
 @on_report
 def dealer_metrics(r):
-    return r.dimension_table(["dealer"]).drop("dim", "related_dealers")
+    return r.dimensions.where("dim = 'dealer'").drop("dim", "related_dealers")
 
 
 @on_report
 def agent_metrics(r):
-    return r.dimension_table(["agent"]).drop("dim", "related_agents")
+    return r.dimensions.where("dim = 'agent'").drop("dim", "related_agents")
 
 
 @on_report
 def product_metrics(r):
-    return r.dimension_table(["product"]).drop("dim", "related_agents", "related_dealers", "display_name")
+    products = r.dimensions.where("dim = 'product'")
+    return products.drop("dim", "related_agents", "related_dealers", "display_name")
 
 
 @on_report
