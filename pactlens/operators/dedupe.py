@@ -241,6 +241,20 @@ def _one_per_number(df: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
+def with_lookup(claims: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Left join on the contract number.
+
+    All lines without a number meet one lookup row. They are split off and that row is broadcast to
+    them, so a feed with many blank numbers makes no hot key.
+    """
+    numbered = claims.where("contract_number <> ''").join(
+        lookup.where("contract_number <> ''"), "contract_number", "left"
+    )
+    blank = F.broadcast(lookup.where("contract_number = ''"))  # one row: lookups are per number
+    rest = claims.where("contract_number = ''").join(blank, "contract_number", "left")
+    return numbered.unionByName(rest)
+
+
 def effective_lookup(transactions: DataFrame) -> DataFrame:
     """First listed effective date of each contract number."""
     return (

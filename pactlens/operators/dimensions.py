@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pactlens.functions import scalars as s
+from pactlens.operators import dedupe as dd
 from pactlens.operators import metrics as m
 
 DIMENSIONS = ["dealer", "agent", "product"]
@@ -27,7 +28,7 @@ def attribute_claims(claims: DataFrame, lookup: DataFrame, dims: list[str]) -> D
         for d in dims
     )
     return (
-        claims.join(lookup, "contract_number", "left")
+        dd.with_lookup(claims, lookup)
         .selectExpr(*claims.columns, f"inline(array({pairs}))")
         .where("dim_value IS NOT NULL")
     )

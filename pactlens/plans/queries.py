@@ -32,22 +32,21 @@ AGENT = "NATION_3"
 TOP_CODES = 15  # loss codes shown per dealer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_reports: dict[tuple[str, str], Report] = {}
 
 
 def report(spark: SparkSession, sf_dir: str) -> Report:
-    """The report over one data directory, set up once per application."""
+    """The report over one data directory, set up once for a session and forgotten with it."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _reports:
-        _reports[key] = Report(
+    reports = spark.__dict__.setdefault("_pactlens_reports", {})
+    if sf_dir not in reports:
+        reports[sf_dir] = Report(
             spark,
             CFG,
             mp.contract_documents(spark, sf_dir),
             mp.claim_documents(spark, sf_dir),
             mp.audit_documents(spark, sf_dir),
         )
-    return _reports[key]
+    return reports[sf_dir]
 
 
 def on_report(fn: Callable[[Report], DataFrame]):
@@ -505,7 +504,7 @@ def latest_state(r):
 
 @on_report
 def claim_contract_lookup(r):
-    joined = r.claims.join(r.lookup, "contract_number", "left")
+    joined = dd.with_lookup(r.claims, r.lookup)
     return joined.selectExpr(
         "source_id", "found.product AS product", "found.agent AS agent", "found.dealer AS dealer"
     )
@@ -513,7 +512,7 @@ def claim_contract_lookup(r):
 
 @on_report
 def written_product_lookup(r):
-    joined = r.claims.join(dd.written_lookup(r.ledger), "contract_number", "left")
+    joined = dd.with_lookup(r.claims, dd.written_lookup(r.ledger))
     return joined.groupBy(F.col("found.product").alias("product")).agg(
         F.count("*").alias("line_count"), F.sum("paid_amount").alias("paid")
     )
