@@ -1,7 +1,7 @@
 """What the operators share: safe column choice, written intermediates and vectorised word hashing.
 
 A word is a run of bytes other than the six ASCII blanks ``[\\x20\\x09-\\x0D]``. Text arrives in
-Python as Arrow buffers and is handled in slices of a few megabytes, so that memory does not depend
+Python as Arrow buffers and is handled in slices of a megabyte, so that memory does not depend
 on the number of rows of a batch; only a single longer document makes a longer slice.
 """
 
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pactlens.session import scratch_path
 
 BLANKS = r"[\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+# rows and bytes that Spark hands to a Python worker at a time
+BATCH_ROWS, BATCH_BYTES = "2000", "8m"
 
 _M64 = (1 << 64) - 1
 
@@ -26,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Keep Arrow batches small for the session: two Python workers share an executor's memory with
+    the JVM, and what a worker has touched it keeps."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The columns of exactly these names; other columns may differ from them in case only."""
     if len({c.lower() for c in df.columns}) == len(df.columns):

@@ -41,7 +41,7 @@ ABOVE, BELOW = 6.0, 8.0
 WIDER_BELOW_WORDS = 60
 LEAST_DEVIATION = 0.02
 STEP = 0.005
-PENDING = 4_000_000
+PENDING = 1_000_000
 
 LANGUAGE = "CASE WHEN lower(lang) RLIKE '^[a-z]{2,3}$' THEN lower(lang) ELSE 'und' END"
 
@@ -379,7 +379,7 @@ def bands(scored: DataFrame) -> DataFrame:
 
 def _judged(rows: DataFrame, *carried: str) -> DataFrame:
     """Of rows (text, lang and others): ``carried`` with language, m, base_failed and kept."""
-    model = train(rows)
+    model = train(c.small_batches(rows))
     scored = rows.withColumn("language", F.expr(LANGUAGE))
     scored = scored.withColumn("m", measures(rows, model, "text", "language"))
     scored = c.kept_table(scored.select(*carried, "language", "m"), "scored")
