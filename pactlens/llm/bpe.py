@@ -318,7 +318,7 @@ def encoded(docs: DataFrame, vocabulary: str | None = None, pattern: str | None
                     names=["doc_id", "ids"],
                 )
 
-    return c.small_batches(c.pick(docs, "doc_id", "text")).mapInArrow(encode, "doc_id long, ids array<int>")
+    return c.prepared(c.pick(docs, "doc_id", "text")).mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def round_trip(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -349,6 +349,6 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, pattern: str | No
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return c.small_batches(c.pick(docs, "doc_id", "text")).mapInArrow(
+    return c.prepared(c.pick(docs, "doc_id", "text")).mapInArrow(
         digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -8,6 +8,7 @@ on the number of rows of a batch; only a single longer document makes a longer s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """Keep Arrow batches small for the session: two Python workers share an executor's memory with
-    the JVM, and what a worker has touched it keeps."""
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+def prepared(df: DataFrame) -> DataFrame:
+    """Session settings for work in Python.
+
+    Arrow batches stay small: two Python workers share an executor's memory with the JVM, and what a
+    worker has touched it keeps. Workers get this package's folder on their path, wherever the driver
+    was started; on a cluster the package must be there or be sent with ``--py-files``.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([root, *paths])
     return df
 
 

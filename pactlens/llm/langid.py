@@ -225,7 +225,7 @@ HELD_OUT = "coalesce(crc32(cast(doc_id AS string)) % 4 = 2, false)"
 
 def predicted_languages(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score; learned from rows not held out."""
-    rows = c.small_batches(c.pick(docs, "doc_id", "text", "lang"))
+    rows = c.prepared(c.pick(docs, "doc_id", "text", "lang"))
     profiles = learn(rows.where(f"NOT {HELD_OUT}"))
     return predict(rows.select("doc_id", "text"), profiles).select(
         "doc_id", F.expr(HELD_OUT).alias("held_out"), "found.lang_pred", "found.score"

@@ -277,7 +277,7 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    texts = c.small_batches(c.pick(docs, "doc_id", "text"))
+    texts = c.prepared(c.pick(docs, "doc_id", "text"))
     found = c.kept_table(
         texts.mapInArrow(
             _sketch_batches, "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"

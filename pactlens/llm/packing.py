@@ -118,7 +118,7 @@ def packed_pieces(
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return c.small_batches(c.pick(docs, "doc_id", "text")).mapInArrow(pack, schema + (", ids binary" if with_ids else ""))
+    return c.prepared(c.pick(docs, "doc_id", "text")).mapInArrow(pack, schema + (", ids binary" if with_ids else ""))
 
 
 class CapacityTree:
@@ -226,7 +226,7 @@ def packed_sequences(
         if block:
             yield from flush()
 
-    return c.small_batches(c.pick(docs, "doc_id", "text")).mapInArrow(
+    return c.prepared(c.pick(docs, "doc_id", "text")).mapInArrow(
         pack,
         "sequence_id long, n_tokens int, ids binary, positions binary, cu_seqlens array<int>,"
         " segments array<struct<doc_id: long, piece: int, start: long>>",

@@ -379,7 +379,7 @@ def bands(scored: DataFrame) -> DataFrame:
 
 def _judged(rows: DataFrame, *carried: str) -> DataFrame:
     """Of rows (text, lang and others): ``carried`` with language, m, base_failed and kept."""
-    model = train(c.small_batches(rows))
+    model = train(c.prepared(rows))
     scored = rows.withColumn("language", F.expr(LANGUAGE))
     scored = scored.withColumn("m", measures(rows, model, "text", "language"))
     scored = c.kept_table(scored.select(*carried, "language", "m"), "scored")

@@ -248,7 +248,7 @@ def _shard_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def covered_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, spans): runs (first window, number) of windows that an earlier document has."""
     spark = docs.sparkSession
-    texts = c.small_batches(c.pick(docs, "doc_id", "text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
+    texts = c.prepared(c.pick(docs, "doc_id", "text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     texts = texts.select("doc_id", "text", _tag())
     anchors = c.kept_table(
         texts.mapInArrow(_anchor_batches, "anchor long, doc_id long, tag int, first int, n int"), "anchors"
