@@ -17,7 +17,10 @@ Then links are confirmed on full sets, in three passes that never list all pairs
     the shingles that both have beside the centre's. For each range of partner sizes this tells how
     many of the latter a stray must share; then one of all but that many less one is shared too,
     whichever are left out, so the most frequent ones are. Partners are found by a join on the rest.
-    A stray that needs none of them is compared with all partners of that range of sizes.
+    A stray that needs none of them is compared with all partners of that range of sizes. Each node
+    also has a bitmap of its shingles beside the centre's; the bits that two bitmaps share, plus what
+    fell on bits already set, bound the shingles the two share there. Only pairs whose bound reaches
+    the limit leave the join.
 Two nodes of one component need no test, so the components are those of all confirmed candidates.
 
 Rows: null or blank texts have an empty set, link with nothing and stay; a null doc_id has no
@@ -39,6 +42,7 @@ from pactlens.llm.graph import components
 BANDS, ROWS_A_BAND = 40, 6
 COORDINATES = BANDS * ROWS_A_BAND
 MEMBERS_A_PART = 400
+BITMAP = 8  # words of 64 bits
 
 _FREE = np.iinfo(np.int64).max
 _SEEDS = c.splitmix(2 * COORDINATES, 101)
@@ -122,11 +126,22 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
+_BITS = [f"bits_{i}" for i in range(BITMAP)]
+_DETAILS = ["node", "centre", "size", "common", "rest", *_BITS]
+
+
+def _bitmap(shingles: np.ndarray) -> np.ndarray:
+    out = np.zeros(BITMAP, np.uint64)
+    word = ((shingles >> np.uint64(6)) % np.uint64(BITMAP)).astype(np.int64)
+    np.bitwise_or.at(out, word, np.uint64(1) << (shingles & np.uint64(63)))
+    return out
+
+
 def _against_centre(batches: Iterator[pa.RecordBatch], details: bool) -> Iterator[pa.RecordBatch]:
     """Rows of a (centre, part) arrive together, the centre's own text first.
 
-    Gives the links (a, b), or for every member its size, its shingles shared with the centre and
-    the others.
+    Gives the links (a, b), or for every member its size, its shingles shared with the centre, the
+    others, and a bitmap of these.
     """
     group, own = None, np.zeros(0, np.uint64)
     for batch in batches:
@@ -136,7 +151,7 @@ def _against_centre(batches: Iterator[pa.RecordBatch], details: bool) -> Iterato
         raw, offsets = c.buffers(batch.column("text"))
         for i, j, part, at in c.slices(raw, offsets):
             flat, bounds = shingle_sets(part, at)
-            nodes, centres, sizes, common, others = [], [], [], [], []
+            nodes, centres, sizes, common, others, maps = [], [], [], [], [], []
             for k in range(i, j):
                 mine = flat[bounds[k - i] : bounds[k - i + 1]]
                 if first[k]:
@@ -151,16 +166,19 @@ def _against_centre(batches: Iterator[pa.RecordBatch], details: bool) -> Iterato
                         centres.append(keys[k][0])
                         sizes.append(len(mine))
                         common.append(shared)
-                        others.append(c.signed(mine[~there]) if details else None)
+                        if details:
+                            beside = mine[~there]
+                            others.append(c.signed(beside))
+                            maps.append(_bitmap(beside))
             ends = [pa.array(nodes, pa.int64()), pa.array(centres, pa.int64())]
             if not details:
                 yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
             else:
                 more = [pa.array(sizes, pa.int64()), pa.array(common, pa.int64())]
                 rest = pa.array(others, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*ends, *more, rest], names=["node", "centre", "size", "common", "rest"]
-                )
+                words = np.array(maps, np.uint64).reshape(len(nodes), BITMAP)
+                columns = [pa.array(c.signed(np.ascontiguousarray(words[:, i]))) for i in range(BITMAP)]
+                yield pa.RecordBatch.from_arrays([*ends, *more, rest, *columns], names=_DETAILS)
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +224,7 @@ def _confirmed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return _routed(texts, pairs).mapInArrow(_links, "a long, b long")
 
 
+_CARRIED = ["node", "size", "common", "component", "unseen", *_BITS]
 _STEP = "cast(floor(ln({}) / ln(1.03D)) AS int)"  # ranges of set sizes, 3 % wide
 
 
@@ -222,13 +241,19 @@ def _pairs_of_strays(texts: DataFrame, marked: DataFrame) -> DataFrame:
     )
     known = c.kept_table(
         _routed(texts, nodes.select("node", "centre"))
-        .mapInArrow(_details, "node long, centre long, size long, common long, rest array<long>")
-        .join(nodes, ["node", "centre"]),
+        .mapInArrow(
+            _details,
+            "node long, centre long, size long, common long, rest array<long>, "
+            + ", ".join(f"{b} long" for b in _BITS),
+        )
+        .join(nodes, ["node", "centre"])
+        # elements that fell on a bit already set
+        .withColumn("unseen", F.expr(f"size - common - ({' + '.join(f'bit_count({b})' for b in _BITS)})")),
         "details",
     )
     others = known.select(
         "centre", F.expr(_STEP.format("size")).alias("step"),
-        *[F.col(n).alias(f"other_{n}") for n in ("node", "size", "common", "component")], "rest",
+        *[F.col(n).alias(f"other_{n}") for n in _CARRIED], "rest",
     )
     strays = known.where("stray")
     of_strays = strays.select("centre", "node", F.explode("rest").alias("shingle"))
@@ -253,11 +278,12 @@ def _pairs_of_strays(texts: DataFrame, marked: DataFrame) -> DataFrame:
             "cast(ceil(4 * (size + floor(exp(step * ln(1.03D)))) / 9) AS long) - common"
         ))
     )
+    bits = " + ".join(f"bit_count({b} & other_{b})" for b in _BITS)
     bound = (
-        "component <> other_component AND 9 * (least(common, other_common)"
-        " + least(size - common, other_size - other_common)) >= 4 * (size + other_size)"
+        f"component <> other_component AND 9 * (least(common, other_common) + {bits}"
+        " + least(unseen, other_unseen)) >= 4 * (size + other_size)"
     )
-    fields = ["centre", "step", "node", "size", "common", "component"]
+    fields = ["centre", "step", *_CARRIED]
     sharing = wanted.where("needed > 0 AND needed <= size - common").select(
         *fields, F.explode(F.expr("slice(ordered, 1, cast(size - common - needed + 1 AS int))")).alias("shingle")
     )
