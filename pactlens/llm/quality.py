@@ -8,6 +8,9 @@ before a text. Log probabilities and back-off weights are stored in sorted hash
 entries exist whatever the corpus, so what is sent to the executors has a fixed bound of 100 MB. Of
 entries with the same key the largest value stays.
 
+A text's bytes are scored by the even mixture of its language's model and of one over all languages, so
+that a passage in another language is not taken for noise.
+
 A document is rejected if the mean negative log probability of its bytes is above or below its
 language's band: median plus ``ABOVE`` or minus ``BELOW`` deviations (1.4826 times the median
 absolute deviation, ``LEAST_DEVIATION`` at least), both over all documents of the language that pass
@@ -43,6 +46,7 @@ LEAST_DEVIATION = 0.02
 STEP = 0.005
 PENDING = 1_000_000
 
+EVERY = "*"  # stands for all languages together
 LANGUAGE = "CASE WHEN lower(lang) RLIKE '^[a-z]{2,3}$' THEN lower(lang) ELSE 'und' END"
 
 # ---- base counts ----
@@ -303,7 +307,8 @@ def train(docs: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n")),
         "gram-counts",
     )
-    return c.kept_table(kneser_ney(counts), "model")
+    every = counts.groupBy(F.lit(EVERY).alias("language"), "gram").agg(F.sum("n").alias("n"))
+    return c.kept_table(kneser_ney(counts.unionByName(every)), "model")
 
 
 # ---- verdicts ----
@@ -332,7 +337,9 @@ def measures(docs: DataFrame, model: DataFrame, text: str, language: str):
         for i, j, part, at in c.slices(raw, offsets):
             sizes = np.diff(at)
             grams, _ = _grams(part, at)
-            scores = found.log_p(grams, np.repeat(salts[i:j], sizes))
+            own = found.log_p(grams, np.repeat(salts[i:j], sizes))
+            scores = np.logaddexp(own, found.log_p(grams, np.full(len(grams), _salt(EVERY))), dtype=np.float32)
+            scores -= np.float32(np.log(2))
             total = np.concatenate(([0.0], np.cumsum(scores, dtype=np.float64)))
             mean = -(total[at[1:]] - total[at[:-1]]) / np.maximum(sizes, 1)
             parts.append([*base_counts(part, at), mean])
