@@ -137,6 +137,48 @@ def test_hash_arrays_find():
     assert there.tolist() == [int(s) in known for s in asked]
 
 
+def test_symbol_and_pipe_noise_is_rejected(spark):
+    """Noise that is common enough to be learned by a model of all documents."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 5))) for _ in range(400)]
+    text = lambda sign: " ".join(w + sign() for w in rng.choices(words, k=150))
+    rows = [(i, text(lambda: ""), "en") for i in range(300)]
+    rows += [(1000 + i, text(lambda: rng.choice(["###", "%%%", "&&&"])), "en") for i in range(30)]
+    rows += [(2000 + i, text(lambda: " |"), "en") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in quality.verdicts(df).where("kept").collect()}
+    assert len([i for i in kept if i < 1000]) >= 298 and not [i for i in kept if i >= 1000]
+
+
+def test_no_model_entry_is_lost(spark, docs, monkeypatch):
+    """Surprises equal brute force when most entries are joined."""
+    rows = [(language_of(r[2]), r[1]) for r in messy.rows() if r[1] is not None]
+    one = brute_model([*rows, *(("*", t) for _, t in rows)])
+    plain = lambda t: [re.sub(rb"[0-9]", b"0", w.lower()) for w in messy.words(t)]
+
+    def teaches(t):
+        n, _, symbols, _, repeated = base_counts(t)
+        return n >= 10 and 100 * repeated <= 20 * n and 10 * symbols <= n
+
+    known = Counter(w for _, t in rows if teaches(t) for w in plain(t))
+    monkeypatch.setattr(quality, "SLOTS", 40)  # the others are joined
+    got = quality.verdicts(docs).where("doc_id <> 11").collect()
+    found = {r["doc_id"]: r for r in got}
+    assert messy.as_set(quality.drop_rejected(docs).where("doc_id <> 11"), "doc_id") == sorted(
+        repr((r["doc_id"],)) for r in got if r["kept"]
+    )
+    for i, text, lang, *_ in messy.rows():
+        if i in (None, 11) or not text or len(text) > 2000:
+            continue
+        data = b"\x02" * 3 + bytes(quality._SYMBOLS[np.frombuffer(text.encode(), np.uint8)])
+        grams = [data[k - 3 : k + 1] for k in range(3, len(data))]
+        mean = -sum(math.log((one(language_of(lang), g) + one("*", g)) / 2) for g in grams) / len(grams)
+        own, taught = Counter(plain(text)), teaches(text)
+        words = -sum(n * math.log((known[w] - n * taught + 0.5) / known.total()) for w, n in own.items())
+        assert found[i]["surprise"] == pytest.approx(mean, abs=1e-6), i
+        assert found[i]["word_surprise"] == pytest.approx(words / max(1, own.total()), abs=1e-6), i
+
+
 # ---- language identification ----
 
 
