@@ -1,11 +1,12 @@
 """Licence scan by sentence rules, in DataFrame operations only.
 
-A text is cut into sentences at line breaks and at ``. ! ? ; :`` before a blank. A sentence is
-normalised (lower case, every run of other characters than a-z and 0-9 one space) and looked up among
-the known licence sentences. What is left of a document is the sequence of their identifiers, in
-order. Licence rules are ordered lists of identifiers that must follow one another in that sequence;
-sentences that are no licence sentences may stand between. The longest rules are tried first, and
-what a rule has matched is taken out of the sequence.
+A text is cut at ``. ! ? ; :`` before a blank, at blank lines and at line breaks, and normalised (lower
+case, every run of other characters than a-z and 0-9 one space, so comment marks go). A sentence is
+one piece or several that only single line breaks part, so a wrapped sentence is found as well as one
+that stands on a line of its own. Sentences are looked up among the known licence sentences. What is left of a document is the sequence of
+their identifiers, in order. Licence rules are ordered lists of identifiers that must follow one
+another in that sequence; sentences that are no licence sentences may stand between. The longest rules
+are tried first, and what a rule has matched is taken out of the sequence.
 
 The known sentences and rules are short lists, so they are part of the plan; nothing is shuffled.
 Rows: null or empty text has no sentences; a null doc_id is passed on; repeated rows are judged alike.
@@ -102,13 +103,19 @@ def scan(docs: DataFrame) -> DataFrame:
     licences (comma-separated, in the order of the rules), n_unmatched identifiers."""
     pairs = [F.lit(x) for pair in known_sentences().items() for x in pair]
     known = F.create_map(*pairs)
-    lines = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), _END, "$1\n"), "\n")
-    names = F.filter(
-        F.transform(
-            lines, lambda s: F.element_at(known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-        ),
-        lambda n: n.isNotNull(),
-    )
+    # \x02 stands for an end that no sentence goes across, \n for a single line break
+    lines = F.translate(F.lower(F.coalesce("text", F.lit(""))), "\x02", " ")
+    lines = F.regexp_replace(lines, "(?dm)^[^a-z0-9\n]+", "")  # marks of comments and lists
+    lines = F.concat(F.lit("\x02"), F.regexp_replace(lines, _END, "$1\x02"), F.lit("\x02"))
+    for pattern, put in (
+        ("[^a-z0-9\n\x02]+", " "),
+        (" *([\n\x02]) *", "$1"),
+        ("\n{2,}", "\x02"),
+    ):
+        lines = F.regexp_replace(lines, pattern, put)
+    wordings = "|".join(s.replace(" ", "[ \n]") for s in sorted(known_sentences(), key=len, reverse=True))
+    found = F.regexp_extract_all(lines, F.lit(f"(?<=[\n\x02])(?:{wordings})(?=[\n\x02])"), F.lit(0))
+    names = F.transform(found, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
     rows = c.pick(docs, "doc_id", "text").select("doc_id", names.alias("names"))
     # the sequence's names are few; an aggregate over the rules takes out what each one matches
     start = F.struct(
@@ -143,7 +150,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same in DuckDB."""
+    """The same in DuckDB for texts whose licence sentences are not wrapped over lines."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in known_sentences().items())
     steps = []

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -318,6 +319,42 @@ def test_licences(spark, docs):
     assert licences.scan(messy.empty(spark)).count() == 0
 
 
+def test_wrapped_licences(spark):
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+    mit = "\n".join(
+        textwrap.fill(licences.SENTENCES[n], 60) for n in ("mit-grant", "mit-notice", "mit-warranty")
+    )
+    marked = lambda text, mark: "\n".join(mark + x for x in text.split("\n"))
+    rows = [
+        (1, apache), (2, marked(apache, "# ")), (3, "/*\n" + marked(apache, " * ") + "\n */"),
+        (4, marked(apache, "; ")), (5, bsd.replace("\n", "\r\n")), (6, marked(bsd, "// ")), (7, mit),
+        (8, "Permission is\n\n" + mit.split("is", 1)[1]), (9, "Released under\n\nthe MIT License."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
+    assert found == {
+        1: "Apache-2.0", 2: "Apache-2.0", 3: "Apache-2.0", 4: "Apache-2.0",
+        5: "BSD-2-Clause", 6: "BSD-2-Clause", 7: "MIT", 8: "", 9: "",
+    }
+
+
 def test_licences_oracle(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     con = duckdb.connect()
