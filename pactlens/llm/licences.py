@@ -3,7 +3,8 @@
 A text is cut at ``. ! ? ; :`` before a blank, at blank lines and at line breaks, and normalised (lower
 case, every run of other characters than a-z and 0-9 one space, so comment marks go). A sentence is
 one piece or several that only single line breaks part, so a wrapped sentence is found as well as one
-that stands on a line of its own. Sentences are looked up among the known licence sentences. What is left of a document is the sequence of
+that stands on a line of its own. Sentences are looked up among the known licence sentences; a known
+sentence with an inner end is one for each of its parts. What is left of a document is the sequence of
 their identifiers, in order. Licence rules are ordered lists of identifiers that must follow one
 another in that sequence; sentences that are no licence sentences may stand between. The longest rules
 are tried first, and what a rule has matched is taken out of the sequence.
@@ -84,13 +85,21 @@ def _pieces(text: str) -> list[str]:
     return [normalised(s) for s in re.sub(_END, r"\1\n", text).split("\n")]
 
 
+def _parts(name: str) -> list[tuple[str, str]]:
+    """Identifier and normalised wording of each part of a known sentence."""
+    pieces = _pieces(SENTENCES[name])
+    return [(name, pieces[0])] if len(pieces) == 1 else [(f"{name}-{i}", p) for i, p in enumerate(pieces, 1)]
+
+
 def known_sentences() -> dict[str, str]:
-    """Normalised sentence to identifier. A sentence with inner ends is known by its first part."""
-    return {_pieces(text)[0]: name for name, text in SENTENCES.items()}
+    """Normalised sentence, or part of one, to identifier."""
+    return {piece: part for name in SENTENCES for part, piece in _parts(name)}
 
 
 def ordered_rules() -> list[tuple[str, list[str]]]:
-    return sorted(RULES, key=lambda r: -len(r[1]))
+    """Licences with the identifiers of all parts of their sentences."""
+    whole = [(licence, [part for name in names for part, _ in _parts(name)]) for licence, names in RULES]
+    return sorted(whole, key=lambda r: -len(r[1]))
 
 
 def _sequence(names: list[str]) -> str:

@@ -355,6 +355,15 @@ modification, are permitted provided that the following conditions are met:
     }
 
 
+def test_a_rule_needs_the_whole_wording(spark):
+    hope = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without"
+    other = licences.SENTENCES["gpl-redistribute"].replace("version 3", "version 2").replace("software:", "software;")
+    rows = [(1, other + hope), (2, licences.SENTENCES["gpl-redistribute"] + hope)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
+    assert found == {1: "", 2: "GPL-3.0-or-later"}
+
+
 def test_licences_oracle(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     con = duckdb.connect()
