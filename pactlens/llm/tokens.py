@@ -30,7 +30,6 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.mark = self._encode(_MARK)
         self.known: dict[bytes, bytes] = {}
 

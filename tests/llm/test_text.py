@@ -389,6 +389,17 @@ def plain_ids(text):
     return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 0]
 
 
+def test_ids_are_those_of_the_tokenizer_file():
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(tokens.default_tokenizer())
+    texts = ["the end <|endoftext|> start", "a<|startoftext|>b <|endoftext|><|endoftext|>.", "plain words"]
+    found = tokens.WordTokens(tokens.default_tokenizer()).ids([t.encode() for t in texts])
+    expected = [made.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in found] == expected
+    assert expected[0] == [518, 806, 49407, 1572]
+
+
 def test_packed_pieces(spark, docs):
     rows = packing.packed_pieces(docs, capacity=256, open_bins=4, with_ids=True).collect()
     got = Counter()
