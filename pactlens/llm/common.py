@@ -7,7 +7,9 @@ on the number of rows of a batch; only a single longer document makes a longer s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -47,6 +49,28 @@ def prepared(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return what a task has left unused to the system: Spark reuses a worker for the tasks of later stages."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def returning(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``work`` on the batches of a task, which gives its memory back at its end."""
+
+    @functools.wraps(work)
+    def run(*batches):
+        try:
+            yield from work(*batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The columns of exactly these names; other columns may differ from them in case only."""
     if len({c.lower() for c in df.columns}) == len(df.columns):

@@ -98,6 +98,7 @@ def band_buckets(sketch: np.ndarray) -> np.ndarray:
     return c.mix(mixed ^ c.splitmix(BANDS, 203))
 
 
+@c.returning
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = c.buffers(batch.column("text"))
@@ -181,10 +182,12 @@ def _against_centre(batches: Iterator[pa.RecordBatch], details: bool) -> Iterato
                 yield pa.RecordBatch.from_arrays([*ends, *more, rest, *columns], names=_DETAILS)
 
 
+@c.returning
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _against_centre(batches, False)
 
 
+@c.returning
 def _details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _against_centre(batches, True)
 

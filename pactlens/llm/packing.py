@@ -92,6 +92,7 @@ def packed_pieces(
     """
     path = tokenizer or default_tokenizer()
 
+    @c.returning
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, base = OnlineBestFit(capacity, open_bins), _task_base()
         for doc_ids, ids in token_batches(batches, path):

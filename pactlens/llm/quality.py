@@ -138,6 +138,7 @@ def _grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return packed[own[pad:]], offsets
 
 
+@c.returning
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(language, gram, n): the counts of a task, combined as they grow."""
     waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -271,6 +272,7 @@ def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[order][heads], *[np.add.reduceat(x[order], heads) for x in columns]
 
 
+@c.returning
 def _count_word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, seen, n): how often a task saw each word, and how often in documents that teach."""
     parts: list[tuple[np.ndarray, ...]] = []
@@ -384,7 +386,6 @@ _MEASURES = T.StructType(
     + [T.StructField(n, T.DoubleType()) for n in ("grams", "words")]
     + [T.StructField(n, _ASKED) for n in ("other_grams", "other_words")]
 )
-_loaded: dict = {}
 
 
 def _own(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -409,10 +410,15 @@ def measures(spark, grams: Model, words: Model, total: int, text: str, language:
     arrays = spark.sparkContext.broadcast((grams.sent(), words.sent()))
 
     @arrow_udf(_MEASURES)
-    def measure(texts: pa.Array, languages: pa.Array) -> pa.Array:
-        if _loaded.get("of") is not arrays.value:
-            _loaded.update({"of": arrays.value, "arrays": [HashArrays(*x) for x in arrays.value]})
-        of_grams, of_words = _loaded["arrays"]
+    def measure(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        yield from scored(batches, *[HashArrays(*x) for x in arrays.value])
+
+    @c.returning
+    def scored(batches, of_grams: HashArrays, of_words: HashArrays) -> Iterator[pa.Array]:
+        for texts, languages in batches:
+            yield of_batch(texts, languages, of_grams, of_words)
+
+    def of_batch(texts: pa.Array, languages: pa.Array, of_grams: HashArrays, of_words: HashArrays) -> pa.Array:
         codes = np.array([_code(x) for x in languages.to_pylist()], np.int64)
         raw, offsets = c.buffers(texts)
         parts: list[list[np.ndarray]] = []

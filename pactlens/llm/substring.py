@@ -81,6 +81,7 @@ def anchors_of(raw: np.ndarray, offsets: np.ndarray):
     return doc[heads], grams[picked[heads]], place[heads], np.diff(np.append(heads, len(inside)))
 
 
+@c.returning
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, tags = batch.column("doc_id"), batch.column("tag")
@@ -97,6 +98,7 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
+@c.returning
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["shard", "part", "doc_id", "tag", "start", "leads", "split", "words"]
 
@@ -208,6 +210,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 _COVER = ["doc_id", "tag", "first", "n", "print_a", "print_b"]
 
 
+@c.returning
 def _shard_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages arrive by shard and slice in order of doc_id; the automaton holds earlier documents."""
     shard, current, automaton, waiting = None, None, Automaton(), []
