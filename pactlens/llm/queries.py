@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactlens.llm import bpe, exact, langid, licences, linkgraph, neardup, packing, quality, substring
+from pactlens.llm import (
+    bpe, exact, langid, licences, linkgraph, neardup, packing, phrases, ppm, quality, substring,
+)
 from pactlens.llm.common import table
 
 
@@ -58,6 +60,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judged_urls(table(spark, sf_dir, "pages"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,12 +81,15 @@ QUERIES = {
         op8_minhash_dedup,
         op9_best_fit_packing,
         op10_url_filter,
+        op12_collocations,
+        op13_lm_scores,
     )
 }
 
 #: Counterparts in DuckDB where SQL can say it and is quick enough over whole tables.
 ORACLE = {
     "op5_license_scan": licences.oracle_sql(),
+    "op12_collocations": phrases.oracle_sql(),
     "op4_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
