@@ -147,7 +147,7 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def on_curve(rows: DataFrame) -> DataFrame:
     """Written (vec_id, label, v, length, place)."""
     axes = _axes(rows)
-    joined = rows.withColumn("length", F.size("v")).join(axes, "length")
+    joined = rows.withColumn("length", F.size("v")).join(axes, "length", "left")
     return c.kept_table(
         joined.select("vec_id", "label", "v", "axes").mapInArrow(
             _placed, "vec_id long, label long, v array<int>, length int, place long"

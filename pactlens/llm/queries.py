@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactlens.llm import (
-    bpe, exact, langid, licences, linkgraph, neardup, packing, phrases, ppm, quality, substring,
+    bpe, exact, langid, licences, linkgraph, neardup, negatives, packing, phrases, ppm, quality, substring,
 )
 from pactlens.llm.common import table
 
@@ -60,6 +60,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judged_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES = {
         op8_minhash_dedup,
         op9_best_fit_packing,
         op10_url_filter,
+        op11_hard_negatives,
         op12_collocations,
         op13_lm_scores,
     )
@@ -89,6 +94,7 @@ QUERIES = {
 #: Counterparts in DuckDB where SQL can say it and is quick enough over whole tables.
 ORACLE = {
     "op5_license_scan": licences.oracle_sql(),
+    "op11_hard_negatives": negatives.oracle_sql(),
     "op12_collocations": phrases.oracle_sql(),
     "op4_exact_dedup": r"""
         WITH n AS (

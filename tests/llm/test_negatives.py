@@ -80,10 +80,10 @@ def test_blocks_far_away_are_not_read(spark):
     rng = np.random.default_rng(7)
     rows = []
     for i in range(4000):
-        side = i % 20
-        v = np.zeros(20)
+        side = i % 8
+        v = np.zeros(8)
         v[side] = 4
-        rows.append((i, [float(np.float32(x)) for x in v + rng.normal(0, 0.05, 20)], side % 2))
+        rows.append((i, [float(np.float32(x)) for x in v + rng.normal(0, 0.05, 8)], side % 2))
     placed = negatives.on_curve(negatives.prepared_rows(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")))
     blocks = negatives._ordered(placed, True, 64, "blocks").collect()
     anchor = np.floor(256 * np.array([rows[100][1]])).astype(np.int64)
