@@ -1,9 +1,11 @@
 """Texts in chunks of bounded size, for operators that ask a table of the corpus about every position.
 
-A chunk is some megabytes of text. It asks for each of its different keys once, Spark joins what the
-chunks ask with the corpus table, and the answers go back to the chunk alone. Neither the table nor the
-questions pass through the driver or are sent to every executor, and no key is hot: a key is asked once
-a chunk, however often it stands there.
+A chunk is some megabytes of text. It asks for each of its different keys once, and the answers go back to
+the chunk alone. Neither the corpus table nor the questions pass through the driver or are sent to every
+executor, and no key is hot: a key is asked once a chunk, however often it stands there. Questions may be
+dealt to shards by a remainder of the key, so that a shuffle moves compressed runs of keys in place of a row
+per key; the number of shards grows with the corpus. Within a chunk questions and answers have one order, by
+shard, then by key, so answers need not repeat the keys.
 
 Chunks are a written table, so their numbers hold when a task runs again. A row is a part of a chunk with
 the documents of one tag: their ids, the ends of their texts, and the texts, compressed. Null text is
@@ -18,11 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pactlens.llm import common as c
 
 CHUNK_BYTES = 32 << 20
 PART_BYTES = 1 << 20
+SHARD_BYTES = 16 << 20
 SCHEMA = "chunk long, tag string, doc_ids array<long>, ends array<int>, body binary"
 _CODEC = pa.Codec("zstd", 1)
 
@@ -51,7 +55,7 @@ def _chunked(batches: Iterator[pa.RecordBatch], change: Change, chunk_bytes: int
         raw, offsets = c.buffers(batch.column("text"))
         tags = np.array(batch.column("tag").to_pylist(), object)
         doc_ids = batch.column("doc_id")
-        for i, j, part, at in c.slices(raw, offsets, PART_BYTES):
+        for i, j, part, at in c.slices(raw, offsets, min(PART_BYTES, chunk_bytes)):
             if filled and filled + len(part) > chunk_bytes:
                 chunk, filled = chunk + 1, 0
             filled += len(part)
@@ -119,6 +123,34 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[heads], np.diff(np.append(heads, len(keys)))
 
 
+def summed(sums: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys of several (keys, counts) in order, with the sums of their counts."""
+    keys = np.concatenate([s[0] for s in sums]) if sums else np.zeros(0, np.uint64)
+    counts = np.concatenate([s[1] for s in sums]) if sums else np.zeros(0, np.int64)
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[heads], np.add.reduceat(counts[order], heads)
+
+
+def shard_count(texts: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
+    """A prime number of shards for written chunks, about one to ``shard_bytes`` of text."""
+    total = texts.agg(F.sum(F.element_at("ends", -1).cast("long"))).first()[0] or 0
+    n = max(2, -(-total // shard_bytes))
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of different keys by shard, then by key, and where each shard starts in it."""
+    shard = keys.view(np.int64) % shards
+    order = np.lexsort((keys, shard))
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+
+
 class Answers:
     """Values of sorted 64-bit keys; a directory of leading bits of the mixed key keeps a search short."""
 

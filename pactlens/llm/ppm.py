@@ -13,9 +13,10 @@ a text is read.
 Scored is what the tokens hold: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+`` joined by one space, then an
 end mark (byte FF, which UTF-8 never has). Start marks (FE) fill the contexts at a text's start.
 
-The trie lies in written tables of one row per context and byte, as large as the corpus makes it. Each
-chunk of text asks for its different (context, byte) pairs and its different words once; Spark answers by
-joins on them. So no table is sent to every executor and no context is a hot key.
+The trie lies in written tables of one row per context and byte, as large as the corpus makes it, and
+Spark joins give the code length of every (context, byte) that stands in some text. Each chunk of text asks
+shards for its different ones, and for its different words, once. So no table is sent to every executor and
+no context is a hot key. Words are told apart by 64 bits within a chunk, and by their spelling across chunks.
 
 Beside the score stands a unigram base: the sum over tokens (the words, then one end) of
 log10((c + 0.5) / (N + 0.5 (V + 1))), c the count of the token, N of all and V the different ones in
@@ -97,56 +98,111 @@ def _word_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 # ---- what chunks ask ----
 
+_GRAM, _WORD = 0, 1
+_ASKED = "shard long, chunk long, keys binary, counts binary"
+_ANSWERED = "chunk long, kind int, shard long, body binary"
+
+
+def _grams_of(parts: list, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams of a chunk, and how often each stands in training texts."""
+    sums: list[tuple[np.ndarray, np.ndarray]] = []
+    for tag, _, raw, offsets in parts:
+        keys, counts = chunks.distinct(grams(raw, offsets, order)[0])
+        sums.append((keys, counts * (tag == _TRAIN)))
+        if len(sums) >= 8:
+            sums = [chunks.summed(sums)]
+    return chunks.summed(sums)
+
+
+def _words_of(parts: list) -> tuple[np.ndarray, np.ndarray, dict[int, bytes]]:
+    """The keys of a chunk's different words, how often each stands in training texts, and the words."""
+    words: dict[int, bytes] = {}
+    sums: list[tuple[np.ndarray, np.ndarray]] = []
+    for tag, _, raw, offsets in parts:
+        keys, starts, ends, _ = _word_keys(raw, offsets)
+        different, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        data = raw.tobytes()
+        for key, a, b in zip(different.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True):
+            if key not in words:
+                words[key] = data[a:b]
+        sums.append((different, counts * (tag == _TRAIN)))
+    return *chunks.summed(sums), words
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    kinds = {"body": pa.binary(), "keys": pa.binary(), "counts": pa.binary(), "kind": pa.int32()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, kinds.get(n, pa.int64())) for x, n in zip(columns, names, strict=True)], names=names
+    )
 
-def _asked_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """(chunk, gram, n): the different grams of a chunk, n of them in training texts."""
-    for chunk, own in chunks.by_chunk(batches):
-        sums: list[tuple[np.ndarray, np.ndarray]] = []
-        for tag, _, raw, offsets in own:
-            keys, counts = chunks.distinct(grams(raw, offsets, order)[0])
-            sums.append((keys, counts * (tag == _TRAIN)))
-            if len(sums) >= 8:
-                sums = [_merged(sums)]
-        keys, counts = _merged(sums)
-        for i in range(0, len(keys), 100_000):
-            part = slice(i, i + 100_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys[part]), chunk)), pa.array(c.signed(keys[part])), pa.array(counts[part], pa.int64())],
-                names=["chunk", "gram", "n"],
-            )
 
+def _asked(kind: int, order: int, shards: int):
+    """(shard, chunk, keys, counts): what a chunk asks of each shard, grams as steps from one to the next,
+    words spelled."""
 
-def _merged(sums: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([s[0] for s in sums])
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], np.concatenate([s[1] for s in sums])[order]
-    if not len(keys):
-        return keys, counts
-    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[heads], np.add.reduceat(counts, heads)
-
-
-def _asked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, key, word, n): the different words of a chunk, n of them in training texts."""
-    for chunk, own in chunks.by_chunk(batches):
-        words: dict[int, bytes] = {}
-        sums: list[tuple[np.ndarray, np.ndarray]] = []
-        for tag, _, raw, offsets in own:
-            keys, starts, ends, _ = _word_keys(raw, offsets)
-            different, first, counts = np.unique(keys, return_index=True, return_counts=True)
-            data = raw.tobytes()
-            for key, a, b in zip(different.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True):
-                if key not in words:
-                    words[key] = data[a:b]
-            sums.append((different, counts * (tag == _TRAIN)))
-        keys, counts = _merged(sums)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(keys), chunk)), pa.array(c.signed(keys)),
-                pa.array([words[k] for k in keys.tolist()], pa.binary()), pa.array(counts, pa.int64()),
-            ],
-            names=["chunk", "key", "word", "n"],
-        )
+    @c.returning
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, parts in chunks.by_chunk(batches):
+            words: dict[int, bytes] = {}
+            if kind == _GRAM:
+                keys, counts = _grams_of(parts, order)
+            else:
+                keys, counts, words = _words_of(parts)
+            by, cuts = chunks.dealt(keys, shards)
+            rows = []
+            for shard, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+                if a < b:
+                    own = keys[by[a:b]]
+                    body = np.diff(own, prepend=np.uint64(0)).tobytes() if kind == _GRAM else b"\n".join([words[k] for k in own.tolist()])
+                    rows.append((shard, chunk, chunks.packed(body), chunks.packed(counts[by[a:b]].tobytes())))
+            yield _batch(rows, ["shard", "chunk", "keys", "counts"])
+
+    return work
+
+
+def _gram_keys(body: bytes) -> np.ndarray:
+    return np.cumsum(chunks.unpacked(body).view(np.uint64), dtype=np.uint64)
+
+
+def _counts(body: bytes) -> np.ndarray:
+    return chunks.unpacked(body).view(np.int64)
+
+
+def _gram_counts(table: pa.Table) -> pa.Table:
+    """(gram, n) of a shard."""
+    bodies = [table.column(n).to_pylist() for n in ("keys", "counts")]
+    keys, counts = chunks.summed([(_gram_keys(k), _counts(n)) for k, n in zip(*bodies, strict=True)])
+    return pa.table({"gram": pa.array(c.signed(keys)), "n": pa.array(counts, pa.int64())})
+
+
+def _gram_answers(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The values of what chunks ask of a shard, from the shard's (gram, value)."""
+    known, values = right.column("gram").to_numpy().view(np.uint64), right.column("value").to_numpy()
+    order = np.argsort(known)
+    known, values = known[order], values[order]
+    rows = [
+        (chunk, _GRAM, shard, chunks.packed(values[np.searchsorted(known, _gram_keys(keys))].tobytes()))
+        for shard, chunk, keys in zip(*[left.column(n).to_pylist() for n in ("shard", "chunk", "keys")], strict=True)
+    ]
+    return pa.Table.from_batches([_batch(rows, ["chunk", "kind", "shard", "body"])])
+
+
+def _word_answers(table: pa.Table) -> pa.Table:
+    """The counts of what chunks ask of a shard; as chunk -1, the sum of the counts and how many are not 0."""
+    asked = [chunks.unpacked(b).tobytes().split(b"\n") for b in table.column("keys").to_pylist()]
+    spelled = pa.array([w for words in asked for w in words], pa.large_binary()).dictionary_encode()
+    codes = spelled.indices.to_numpy()
+    counts = np.concatenate([_counts(b) for b in table.column("counts").to_pylist()])
+    total = np.zeros(len(spelled.dictionary), np.int64)
+    np.add.at(total, codes, counts)
+    shard = table.column("shard")[0].as_py()
+    rows = [(-1, _WORD, shard, np.array([total.sum(), (total > 0).sum()], np.int64).tobytes())]
+    at = 0
+    for chunk, words in zip(table.column("chunk").to_pylist(), asked, strict=True):
+        rows.append((chunk, _WORD, shard, chunks.packed(total[codes[at : at + len(words)]].tobytes())))
+        at += len(words)
+    return pa.Table.from_batches([_batch(rows, ["chunk", "kind", "shard", "body"])])
 
 
 # ---- the trie ----
@@ -221,15 +277,26 @@ def code_lengths(counts: DataFrame, order: int = ORDER) -> DataFrame:
 _SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _scored(left: pa.Table, right: pa.Table, order: int, total: int, different: int, ends: int) -> pa.Table:
-    """Rows of one chunk from its texts and its answers (kind, key, value)."""
-    kinds = right.column("kind").to_numpy()
-    keys, values = right.column("key").to_numpy(), right.column("value").to_numpy()
-    of_grams = chunks.Answers(keys[kinds == 0], values[kinds == 0])
-    of_words = chunks.Answers(keys[kinds == 1], values[kinds == 1])
+def _answers(table: pa.Table, kind: int, keys: np.ndarray, shards: int, dtype: type) -> chunks.Answers:
+    """Answers of one kind to the different ``keys`` that a chunk asked about."""
+    own = [
+        (shard, body)
+        for of, shard, body in zip(*[table.column(n).to_pylist() for n in ("kind", "shard", "body")], strict=True)
+        if of == kind
+    ]
+    values = [chunks.unpacked(body).view(dtype) for _, body in sorted(own)]
+    by, _ = chunks.dealt(keys, shards)
+    return chunks.Answers(keys[by], np.concatenate(values) if values else np.zeros(0, dtype))
+
+
+def _scored(left: pa.Table, right: pa.Table, order: int, shards: int, total: int, different: int, ends: int) -> pa.Table:
+    """Rows of one chunk from its texts and its answers."""
+    parts = [part[1:] for part in chunks.parts(left)]
+    of_grams = _answers(right, _GRAM, _grams_of(parts, order)[0], shards, np.float64)
+    of_words = _answers(right, _WORD, _words_of(parts)[0], shards, np.int64)
     room = math.log10(total + 0.5 * (different + 1))
     rows: list[list] = [[] for _ in range(7)]
-    for _, tag, doc_ids, raw, offsets in chunks.parts(left):
+    for tag, doc_ids, raw, offsets in parts:
         keys, at = grams(raw, offsets, order)
         bits, _ = of_grams.find(keys)
         score = np.add.reduceat(bits, at[:-1])  # every text has its end mark
@@ -251,7 +318,9 @@ def _scored(left: pa.Table, right: pa.Table, order: int, total: int, different:
     )
 
 
-def scored(docs: DataFrame, held_out: str = HELD_OUT, order: int = ORDER, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
+def scored(
+    docs: DataFrame, held_out: str = HELD_OUT, order: int = ORDER, chunk_bytes: int = chunks.CHUNK_BYTES
+) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learned from
     the documents for which ``held_out`` (an expression over doc_id) is false."""
     if not 1 <= order <= 7:
@@ -261,30 +330,20 @@ def scored(docs: DataFrame, held_out: str = HELD_OUT, order: int = ORDER, chunk_
     )
     texts = chunks.chunked(tagged, token_text, "chunks", chunk_bytes)
 
-    @c.returning
-    def ask_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _asked_grams(batches, order)
-
-    asked = c.kept_table(texts.mapInArrow(ask_grams, "chunk long, gram long, n long"), "asked-grams")
-    counts = c.kept_table(asked.groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
-    of_grams = asked.select("chunk", "gram").join(code_lengths(counts, order), "gram")
+    shards = chunks.shard_count(texts)
+    asked = c.kept_table(texts.mapInArrow(_asked(_GRAM, order, shards), _ASKED), "asked-grams")
+    counts = c.kept_table(asked.groupBy("shard").applyInArrow(_gram_counts, "gram long, n long"), "gram-counts")
+    values = code_lengths(counts, order).withColumn("shard", F.expr(f"pmod(gram, {shards}L)"))
+    of_grams = asked.groupBy("shard").cogroup(values.groupBy("shard")).applyInArrow(_gram_answers, _ANSWERED)
 
-    words = c.kept_table(
-        texts.mapInArrow(c.returning(_asked_words), "chunk long, key long, word binary, n long"), "asked-words"
-    )
-    vocabulary = c.kept_table(words.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    total, different = vocabulary.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.expr("CASE WHEN n > 0 THEN 1 END"))
-    ).first()
+    words = texts.mapInArrow(_asked(_WORD, order, shards), _ASKED)
+    of_words = c.kept_table(words.groupBy("shard").applyInArrow(_word_answers, _ANSWERED), "word-answers")
+    sums = [np.frombuffer(r["body"], np.int64) for r in of_words.where("chunk = -1").collect()]  # one a shard
     ends = texts.agg(F.coalesce(F.sum(F.expr(f"CASE WHEN tag = '{_TRAIN}' THEN size(doc_ids) END")), F.lit(0))).first()[0]
-    total, different = total + ends, different + (ends > 0)
-    of_words = words.select("chunk", "key", "word").join(vocabulary.where("n > 0"), "word")
-
-    answers = of_grams.selectExpr("chunk", "cast(0 AS byte) AS kind", "gram AS key", "value").unionByName(
-        of_words.selectExpr("chunk", "cast(1 AS byte) AS kind", "key", "cast(n AS double) AS value")
-    )
+    total, different = (int(x) for x in np.sum([[ends, ends > 0], *sums], axis=0))
+    answers = of_grams.unionByName(of_words.where("chunk >= 0"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _scored(left, right, order, total, different, ends)
+        return _scored(left, right, order, shards, total, different, ends)
 
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, _SCHEMA)
