@@ -92,7 +92,6 @@ def packed_pieces(
     """
     path = tokenizer or default_tokenizer()
 
-    @c.returning
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, base = OnlineBestFit(capacity, open_bins), _task_base()
         for doc_ids, ids in token_batches(batches, path):
@@ -119,7 +118,9 @@ def packed_pieces(
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return c.prepared(c.pick(docs, "doc_id", "text")).mapInArrow(pack, schema + (", ids binary" if with_ids else ""))
+    return c.prepared(c.pick(docs, "doc_id", "text")).mapInArrow(
+        c.returning(pack, "tokens"), schema + (", ids binary" if with_ids else "")
+    )
 
 
 class CapacityTree:

@@ -337,9 +337,10 @@ class Model:
     entries: DataFrame
     least: int
 
-    def sent(self) -> tuple[np.ndarray, np.ndarray]:
+    def sent(self) -> HashArrays:
+        """Sorted once, here, so that a worker holds one copy and no more."""
         found = self.entries.where(F.col("seen") >= self.least).select("key", "value").toArrow()
-        return found.column("key").to_numpy(), found.column("value").to_numpy()
+        return HashArrays(found.column("key").to_numpy(), found.column("value").to_numpy())
 
 
 def _model(entries: DataFrame) -> Model:
@@ -411,7 +412,7 @@ def measures(spark, grams: Model, words: Model, total: int, text: str, language:
 
     @arrow_udf(_MEASURES)
     def measure(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        yield from scored(batches, *[HashArrays(*x) for x in arrays.value])
+        yield from scored(batches, *arrays.value)
 
     @c.returning
     def scored(batches, of_grams: HashArrays, of_words: HashArrays) -> Iterator[pa.Array]:

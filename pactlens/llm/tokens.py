@@ -71,6 +71,9 @@ def load(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+c.remembers("tokens", load.cache_clear)
+
+
 def token_batches(
     batches: Iterator[pa.RecordBatch], path: str
 ) -> Iterator[tuple[list[int | None], list[bytes]]]:
