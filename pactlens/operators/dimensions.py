@@ -40,16 +40,18 @@ def dimension_metrics(
     lookup: DataFrame,
     periods: DataFrame,
     dims: list[str] = DIMENSIONS,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """All measures per dimension value and period, with display name and related entities.
 
-    A value is listed for any transaction in the period, or for a claim of its own.
+    A value is listed for any transaction in the period, or for a claim of its own. ``sold`` are the
+    contract measures, where they are known already.
     """
     key = ["dim", "dim_value", "period_id"]
     state = m.ledger_state(ledger, dims)
-    sold = m.contract_measures(state, periods, ["dim", "dim_value"]).withColumn(
-        "is_listed", F.lit(True)
-    )
+    if sold is None:
+        sold = m.contract_measures(state, periods, ["dim", "dim_value"])
+    sold = sold.withColumn("is_listed", F.lit(True))
     name = lambda c: (
         f"min(CASE WHEN {c} <> '' THEN struct(place, source_id, {c} AS name) END) AS {c}"
     )

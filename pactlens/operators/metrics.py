@@ -38,7 +38,7 @@ _SIDE = [
 _EARNING = ["effective_date", "has_schedule", "earning_schedule"]
 
 
-def ledger_state(ledger: DataFrame, dims: list[str] = ()) -> DataFrame:
+def ledger_state(ledger: DataFrame, dims: list[str] = (), carry: list[str] = ()) -> DataFrame:
     """Flat state of each contract, once for each dimension value one of its sides carries.
 
     ``own_w`` and ``own_k`` tell which sides stand under the value. A contract that changed
@@ -47,6 +47,7 @@ def ledger_state(ledger: DataFrame, dims: list[str] = ()) -> DataFrame:
     """
     names = dd.NAMES if dims else []
     flat = ledger.selectExpr(
+        *carry,
         "contract_number = '' AS is_blank",
         "w_place",
         "k_place",
@@ -74,11 +75,18 @@ def ledger_state(ledger: DataFrame, dims: list[str] = ()) -> DataFrame:
 
 
 def contract_measures(state: DataFrame, periods: DataFrame, groups: list[str]) -> DataFrame:
-    """Sums and counts over the contract states of each group and period.
+    """Sums and counts over the contract states of each group and period."""
+    return pooled(contract_sums(state, periods, groups))
 
-    All contracts with a blank number count as one contract per group: their amounts are pooled
-    before the earning rule is applied, and they have no latest state.
-    """
+
+_TOTALS = [
+    "admin_written", "admin_cancelled", "reserve_written", "reserve_cancelled",
+    "gross_income_written", "gross_income_cancelled", "net_admin",
+]
+
+
+def contract_sums(state: DataFrame, periods: DataFrame, groups: list[str]) -> DataFrame:
+    """What ``pooled`` makes measures of; sums of parts of the contracts can be merged (``merged_sums``)."""
     flat = state.selectExpr(
         *groups,
         "is_blank",
@@ -125,12 +133,11 @@ def contract_measures(state: DataFrame, periods: DataFrame, groups: list[str]) -
         " AS factor",
     ).selectExpr("*", f"{dd.earned('wr', 'kr', 'factor')} AS earned")
     total = lambda v, name: F.expr(f"cast(sum({v}) AS {s.MONEY_SUM}) AS {name}")
-    count = lambda c, name: F.expr(
-        f"count_if(NOT is_blank AND {c}) + max(if(is_blank AND {c}, 1, 0)) AS {name}"
-    )
-    sums = shares.groupBy(*groups, "period_id").agg(
-        count("is_written", "contracts_written"),
-        count("k_in", "contracts_cancelled"),
+    return shares.groupBy(*groups, "period_id").agg(
+        F.expr("count_if(NOT is_blank AND is_written) AS contracts_written"),
+        F.expr("count_if(NOT is_blank AND k_in) AS contracts_cancelled"),
+        F.expr("max(if(is_blank AND is_written, 1, 0)) AS any_blank_written"),
+        F.expr("max(if(is_blank AND k_in, 1, 0)) AS any_blank_cancelled"),
         F.expr("count_if(counts_active) AS active_contracts"),
         total("wa", "admin_written"),
         total("ka", "admin_cancelled"),
@@ -142,15 +149,36 @@ def contract_measures(state: DataFrame, periods: DataFrame, groups: list[str]) -
         F.expr("sum(CASE WHEN NOT is_blank THEN earned END) AS earned"),
         F.expr("sum(CASE WHEN is_blank THEN wr END) AS blank_written"),
         F.expr("sum(CASE WHEN is_blank THEN kr END) AS blank_cancelled"),
-        F.expr(
-            "max_by(factor, w_place) FILTER (WHERE is_blank AND is_written) AS blank_factor"
-        ),
+        F.expr("max(struct(w_place, factor)) FILTER (WHERE is_blank AND is_written) AS blank_last"),
     )
-    pooled = dd.earned("blank_written", "coalesce(blank_cancelled, 0)", "blank_factor")
-    return sums.withColumn(
-        "earned_reserve",
-        F.expr(f"cast(round(coalesce(earned, 0) + coalesce({pooled}, 0), 4) AS {s.MONEY_SUM})"),
-    ).drop("earned", "blank_written", "blank_cancelled", "blank_factor")
+
+
+def merged_sums(parts: DataFrame, groups: list[str]) -> DataFrame:
+    """The sums of several parts of the contracts as those of all of them."""
+    return parts.groupBy(*groups, "period_id").agg(
+        *[F.sum(c).alias(c) for c in ("contracts_written", "contracts_cancelled", "active_contracts")],
+        *[F.expr(f"cast(sum({c}) AS {s.MONEY_SUM}) AS {c}") for c in _TOTALS],
+        *[F.sum(c).alias(c) for c in ("earned", "blank_written", "blank_cancelled")],
+        *[F.max(c).alias(c) for c in ("any_blank_written", "any_blank_cancelled", "blank_last")],
+    )
+
+
+def pooled(sums: DataFrame) -> DataFrame:
+    """Measures of the sums.
+
+    All contracts with a blank number count as one contract per group: their amounts are pooled
+    before the earning rule is applied, and they have no latest state.
+    """
+    rest = dd.earned("blank_written", "coalesce(blank_cancelled, 0)", "blank_last.factor")
+    counts = ("contracts_written", "any_blank_written"), ("contracts_cancelled", "any_blank_cancelled")
+    return sums.withColumns(
+        {
+            **{n: F.expr(f"{n} + {blank}") for n, blank in counts},
+            "earned_reserve": F.expr(
+                f"cast(round(coalesce(earned, 0) + coalesce({rest}, 0), 4) AS {s.MONEY_SUM})"
+            ),
+        }
+    ).drop("earned", "blank_written", "blank_cancelled", "blank_last", "any_blank_written", "any_blank_cancelled")
 
 
 CLAIM_ID = s.or_else("claim_number", "source_id")
@@ -207,10 +235,15 @@ def finalize(df: DataFrame) -> DataFrame:
     )
 
 
-def period_metrics(ledger: DataFrame, claims: DataFrame, periods: DataFrame) -> DataFrame:
-    """All 23 measures of every period, empty periods included."""
+def period_metrics(
+    ledger: DataFrame | None, claims: DataFrame, periods: DataFrame, sold: DataFrame | None = None
+) -> DataFrame:
+    """All 23 measures of every period, empty periods included. ``sold`` are the contract measures, where
+    they are known already."""
+    if sold is None:
+        sold = contract_measures(ledger_state(ledger), periods, [])
     return finalize(
-        periods.join(contract_measures(ledger_state(ledger), periods, []), "period_id", "left").join(
+        periods.join(sold, "period_id", "left").join(
             claim_measures(claims, periods, []), "period_id", "left"
         )
     )

@@ -859,6 +859,8 @@ ORACLE["reconciliation_steps"] = sql(["mine", "reach"], f"""
 # ---- dimensions
 
 _DIM = f"v AS dim_value, period_id, {ALL23}"
+ORACLE["incremental_metrics"] = ORACLE["period_metrics_all"]
+
 ORACLE["dealer_metrics"] = sql(["dims"], f"""
     SELECT {_DIM}, display_name, array_to_string(related, '|') AS related_agents
     FROM dims WHERE dim = 'dealer'""")
