@@ -483,20 +483,10 @@ ORACLE["source_counts"] = sql(["docs", "craw", "tx", "cl", "issues"], f"""
 
 ORACLE["parquet_round_trip"] = sql(["tx", "cl"], f"""
     SELECT 'contracts' AS name, {n('year(activity)')} AS y, {n('count(*)')} AS n,
-        {r('sum(reserve)')} AS amount FROM tx GROUP BY 2
-    UNION ALL SELECT 'claims', {n('year(activity)')}, {n('count(*)')}, {r('sum(paid)')}
+        {r('sum(reserve)')} AS amount, {n('0')} AS lost FROM tx GROUP BY 2
+    UNION ALL SELECT 'claims', {n('year(activity)')}, {n('count(*)')}, {r('sum(paid)')}, {n('0')}
     FROM cl GROUP BY 2""")
 
-ORACLE["snapshot_upsert"] = sql(["a_all", "horizons"], f"""
-    SELECT h.period_id, {r('net_reserve')} AS net_reserve, {r('claims_paid')} AS claims_paid,
-        '2001-06-30' AS as_of FROM a_all a JOIN horizons h ON a.period_id = h.period_id
-    UNION ALL SELECT period_id, {r('net_reserve')}, {r('claims_paid')}, '2001-05-31'
-    FROM a_all WHERE period_id = 'ytd'""")
-
-ORACLE["entity_snapshot_upsert"] = sql(["dims"], f"""
-    SELECT '2001-06-30' AS as_of, v AS dim_value, display_name, {r('net_reserve')} AS net_reserve,
-        {r('claims_paid')} AS claims_paid
-    FROM dims WHERE dim = 'agent' AND period_id = 'inception'""")
 
 cte("prc", [], """
     SELECT l_orderkey * 10 + l_linenumber AS ord,
@@ -1250,14 +1240,19 @@ ORACLE["product_lines"] = sql(["fig_line"], f"""
                 || {_PCT.format(_LR)} || ' LR)' END AS assessment
     FROM fig_line WHERE net_reserve > 0 OR earned_reserve > 0 OR claims_paid > 0""")
 
-cte("agown", ["tx"], """
-    SELECT agent, num, arg_max(product, place) AS product FROM tx WHERE num <> '' GROUP BY 1, 2""")
-cte("clag", ["cl", "agown"], """
-    SELECT cl.*, coalesce(o.product, 'Unmapped Product Type') AS cprod
-    FROM cl LEFT JOIN agown o ON cl.agent = o.agent AND cl.cnum = o.num""")
-figures("fig_ag", "tx", "clag", "agent")
-cte("summ0", ["dims", "tx", "cl", "fig_ag"], f"""
-    SELECT w.*, first_date, top_code, top_amount, lo.product AS losing, lo.uw_profit AS losing_profit,
+for _dim in ("dealer", "agent"):
+    cte(f"lineown_{_dim}", [f"tx_{_dim}"], f"""
+        SELECT entity, num, arg_max(product, place) AS product FROM tx_{_dim} WHERE num <> '' GROUP BY 1, 2""")
+    cte(f"clline_{_dim}", [f"cl_{_dim}", f"lineown_{_dim}"], f"""
+        SELECT e.*, coalesce(o.product, 'Unmapped Product Type') AS cprod
+        FROM cl_{_dim} e LEFT JOIN lineown_{_dim} o ON e.entity = o.entity AND e.cnum = o.num""")
+    figures(f"fig_line_{_dim}", f"tx_{_dim}", f"clline_{_dim}", "entity")
+
+
+def summarised(dim: str) -> str:
+    """Summary of every value of a dimension, whose rows are those under its code or its name."""
+    return f"""
+    SELECT '{dim}' AS dim, w.*, first_date, top_code, top_amount, lo.product AS losing, lo.uw_profit AS losing_profit,
         CASE WHEN lo.earned_reserve > 0 THEN {d('lo.claims_paid')} / {d('lo.earned_reserve')} END
             AS losing_lr,
         wi.product AS winning, wi.uw_profit AS winning_profit
@@ -1269,25 +1264,29 @@ cte("summ0", ["dims", "tx", "cl", "fig_ag"], f"""
     for c, a in (("contracts_written", "contracts"), ("net_reserve", "reserve"),
                  ("earned_reserve", "earned"), ("claims_paid", "claims"),
                  ("earned_loss_ratio", "lr"), ("claim_frequency", "freq"))) + """
-        FROM dims WHERE dim = 'agent' GROUP BY v) w
-    LEFT JOIN (SELECT agent, min(coalesce(eff, activity)) AS first_date FROM tx GROUP BY 1) f
-        ON w.v = f.agent
-    LEFT JOIN (SELECT agent, code AS top_code, sum(paid) AS top_amount FROM cl GROUP BY 1, 2
-        QUALIFY row_number() OVER (PARTITION BY agent ORDER BY sum(paid) DESC, code) = 1) c
-        ON w.v = c.agent
-    LEFT JOIN (SELECT * FROM fig_ag WHERE uw_profit < 0 AND (net_reserve > 0 OR earned_reserve > 0
-        OR claims_paid > 0) QUALIFY row_number() OVER (PARTITION BY agent
-            ORDER BY uw_profit, product) = 1) lo ON w.v = lo.agent
-    LEFT JOIN (SELECT * FROM fig_ag WHERE uw_profit > 0 AND (net_reserve > 0 OR earned_reserve > 0
-        OR claims_paid > 0) QUALIFY row_number() OVER (PARTITION BY agent
-            ORDER BY uw_profit, product) = 1) wi ON w.v = wi.agent""")
+        FROM dims WHERE dim = '""" + dim + f"""' GROUP BY v) w
+    LEFT JOIN (SELECT entity, min(coalesce(eff, activity)) AS first_date FROM tx_{dim} GROUP BY 1) f
+        ON w.v = f.entity
+    LEFT JOIN (SELECT entity, code AS top_code, sum(paid) AS top_amount FROM cl_{dim} GROUP BY 1, 2
+        QUALIFY row_number() OVER (PARTITION BY entity ORDER BY sum(paid) DESC, code) = 1) c
+        ON w.v = c.entity
+    LEFT JOIN (SELECT * FROM fig_line_{dim} WHERE uw_profit < 0 AND (net_reserve > 0 OR earned_reserve > 0
+        OR claims_paid > 0) QUALIFY row_number() OVER (PARTITION BY entity
+            ORDER BY uw_profit, product) = 1) lo ON w.v = lo.entity
+    LEFT JOIN (SELECT * FROM fig_line_{dim} WHERE uw_profit > 0 AND (net_reserve > 0 OR earned_reserve > 0
+        OR claims_paid > 0) QUALIFY row_number() OVER (PARTITION BY entity
+            ORDER BY uw_profit, product) = 1) wi ON w.v = wi.entity"""
+
+
+cte("summ0", ["dims", "fig_line_dealer", "fig_line_agent"],
+    f"{summarised('dealer')} UNION ALL {summarised('agent')}")
 tenured("summ1", "summ0", "itd_contracts", 50)
 cte("summ", ["summ1"], f"""
     SELECT *, greatest(itd_reserve - itd_earned, 0) AS unearned,
         CASE WHEN itd_reserve > 0 THEN {d('itd_earned')} / {d('itd_reserve')} ELSE 0 END * 100 AS pe
     FROM summ1""")
 ORACLE["target_summary"] = sql(["summ"], f"""
-    SELECT v AS dim_value, display_name, {t('first_date')} AS first_date, tenure_months,
+    SELECT dim, v AS dim_value, display_name, {t('first_date')} AS first_date, tenure_months,
         {r('tenure_years')} AS tenure_years, maturity, {n('rolling_contracts')} AS rolling_contracts,
         {r('rolling_reserve')} AS rolling_reserve, {r('rolling_claims')} AS rolling_claims,
         {r('rolling_lr')} AS rolling_loss_ratio, {n('itd_contracts')} AS itd_contracts,
@@ -1297,7 +1296,7 @@ ORACLE["target_summary"] = sql(["summ"], f"""
         {r('pe')} AS percent_reserve_earned, top_code, losing AS losing_line, winning AS winning_line
     FROM summ""")
 ORACLE["target_horizons"] = sql(["summ"], f"""
-    SELECT v AS dim_value, 'rolling12' AS horizon, {n('rolling_contracts')} AS contracts,
+    SELECT dim, v AS dim_value, 'rolling12' AS horizon, {n('rolling_contracts')} AS contracts,
         {r('rolling_reserve')} AS net_reserve, {r('rolling_reserve')} AS earned_reserve,
         {r('rolling_claims')} AS claims_paid, {r('rolling_lr')} AS loss_ratio,
         {r('rolling_freq')} AS claim_frequency,
@@ -1306,7 +1305,7 @@ ORACLE["target_horizons"] = sql(["summ"], f"""
             THEN 'Rolling: Warning (65-80%)' ELSE 'Rolling: Elevated (>80%)' END AS status
     FROM summ
     UNION ALL
-    SELECT v, 'inception', {n('itd_contracts')}, {r('itd_reserve')}, {r('itd_earned')},
+    SELECT dim, v, 'inception', {n('itd_contracts')}, {r('itd_reserve')}, {r('itd_earned')},
         {r('itd_claims')}, {r('itd_lr')}, {r('itd_freq')}, {r('pe / 100')},
         CASE maturity WHEN 'Seasoned' THEN CASE WHEN itd_lr > 0.75
                 THEN 'Seasoned Adverse Experience (Pay Attention)' ELSE 'Seasoned Profitable (<65%)' END
@@ -1472,7 +1471,7 @@ _YEARS = "CASE WHEN tenure_years = floor(tenure_years) THEN CAST(CAST(tenure_yea
 _SINCE = "coalesce(strftime(first_date, '%m/%Y'), 'inception')"
 _INT = "format('{{:,}}', CAST({} AS BIGINT))"
 ORACLE["target_narratives"] = sql(["summ"], f"""
-    SELECT 'agent' AS dim, v AS dim_value, display_name || ' [' || v || ']: $'
+    SELECT dim, v AS dim_value, display_name || ' [' || v || ']: $'
         || {_USD.format('itd_claims')} || ' paid against $' || {_USD.format('itd_earned')}
         || ' of earned reserve since the first contract, a loss ratio of '
         || {_ONE.format('itd_lr * 100')} || '%. Last twelve months: '
@@ -1539,5 +1538,26 @@ ORACLE["entity_snapshot_parts"] = sql(
         UNION ALL SELECT 'products', 'dealer', product, net_reserve FROM fig_dealer
         UNION ALL SELECT 'products', 'agent', product, net_reserve FROM fig_agent
         UNION ALL SELECT 'components', 'dealer', comp, {_W} + {_C} FROM txc_dealer GROUP BY entity, cat, comp
-        UNION ALL SELECT 'components', 'agent', comp, {_W} + {_C} FROM txc_agent GROUP BY entity, cat, comp)
+        UNION ALL SELECT 'components', 'agent', comp, {_W} + {_C} FROM txc_agent GROUP BY entity, cat, comp
+        UNION ALL SELECT 'sub_dealers', 'agent', agent, claims_paid FROM ({ORACLE["sub_dealers"]}))
     GROUP BY part, dim""")
+
+_WHOLE = ORACLE["period_metrics_all"]
+ORACLE["snapshot_upsert"] = f"""
+    SELECT *, '2001-06-30' AS as_of FROM ({_WHOLE})
+    UNION ALL SELECT *, '2001-05-31' FROM ({_WHOLE}) WHERE period_id = 'ytd'"""
+
+ORACLE["entity_snapshot_upsert"] = sql(["dims"], f"""
+    SELECT '2001-06-30' AS as_of, dim, {_DIM} FROM dims WHERE dim <> 'product'""")
+
+ORACLE["portfolio_snapshot_parts"] = " UNION ALL ".join(
+    f"SELECT '{part}' AS part, '2001-06-30' AS as_of, {n('count(*)')} AS n, {r(f'sum({amount})')} AS amount"
+    f" FROM ({ORACLE[query]})"
+    for part, query, amount in (
+        ("horizons", "period_metrics_all", "net_reserve"), ("months", "monthly_trend", "net_reserve"),
+        ("worst_dealers", "worst_dealers_snapshot", "claims_paid"), ("dealers", "dealer_metrics", "net_reserve"),
+        ("agents", "agent_metrics", "claims_paid"), ("products", "product_metrics", "earned_reserve"),
+        ("loss_codes", "loss_code_rows", "rolling12_paid"), ("makes", "top_makes", "paid_amount"),
+        ("source_counts", "source_counts", "documents"),
+    )
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,28 +122,34 @@ def source_counts(r):
 
 @on_report
 def parquet_round_trip(r):
+    """Deduplicated contracts and claims exported with all columns, and the rows that came back changed."""
     folder = scratch_path(r.spark, "export")
-    writers.export_parquet(
-        r.transactions.select("contract_number", "transaction_type", "activity_date", "reserve_amount"),
-        r.claims.select("contract_number", "claim_number", "activity_date", "paid_amount"),
-        folder,
-    )
+    writers.export_parquet(r.transactions, r.claims, folder)
     contracts = r.spark.read.parquet(f"{folder}/contracts")
     claims = r.spark.read.parquet(f"{folder}/claims")
-    return contracts.groupBy(F.lit("contracts").alias("name"), F.year("activity_date").alias("y")).agg(
+    lost = _lost(r.transactions, contracts).unionByName(_lost(r.claims, claims)).agg(F.sum("lost").alias("lost"))
+    found = contracts.groupBy(F.lit("contracts").alias("name"), F.year("activity_date").alias("y")).agg(
         F.count("*").alias("n"), F.sum("reserve_amount").alias("amount")
     ).unionByName(
         claims.groupBy(F.lit("claims").alias("name"), F.year("activity_date").alias("y")).agg(
             F.count("*").alias("n"), F.sum("paid_amount").alias("amount")
         )
     )
+    return found.crossJoin(F.broadcast(lost))
+
+
+def _lost(before: DataFrame, back: DataFrame) -> DataFrame:
+    """How many rows did not come back as they were, in any column."""
+    # maps cannot be compared as they are
+    plain = lambda df: df.select(F.to_json(F.struct(*before.columns)).alias("row"))
+    return plain(before).exceptAll(plain(back)).agg(F.count("*").alias("lost"))
 
 
 @on_report
 def snapshot_upsert(r):
-    """Writes the same as-of date twice and another once; the first writing must be gone."""
+    """Writes the same as-of date twice and another once, with all measures; the first writing must be gone."""
     path = scratch_path(r.spark, "snapshots")
-    rows = r.metrics.where("horizon <> 'month'").select("period_id", "net_reserve", "claims_paid")
+    rows = r.metrics.where("horizon <> 'month'").drop("horizon")
     writers.upsert_snapshot(rows.withColumn("claims_paid", F.lit(0).cast(s.MONEY_SUM)), path, date(2001, 6, 30))
     writers.upsert_snapshot(rows.where("period_id = 'ytd'"), path, date(2001, 5, 31))
     writers.upsert_snapshot(rows, path, date(2001, 6, 30))
@@ -151,12 +158,16 @@ def snapshot_upsert(r):
 
 @on_report
 def entity_snapshot_upsert(r):
+    """The stored drill-down of every dealer and agent: all measures of its four horizons."""
     path = scratch_path(r.spark, "entities")
-    wide = dm.entity_drilldown(r.dimensions.where("dim = 'agent'"))
+    wide = dm.entity_drilldown(r.dimensions.where("dim <> 'product'"))
     writers.upsert_snapshot(wide, path, date(2001, 6, 30))
-    return r.spark.read.parquet(path).selectExpr(
-        "as_of", "dim_value", "display_name",
-        "inception.net_reserve AS net_reserve", "inception.claims_paid AS claims_paid",
+    horizons = ", ".join(f"'{p}', {p}" for p in cal.DIMENSION_HORIZONS)
+    return (
+        r.spark.read.parquet(path)
+        .selectExpr("as_of", "dim", "dim_value", f"explode(map({horizons})) AS (period_id, figures)")
+        .where("figures IS NOT NULL")
+        .select("as_of", "dim", "dim_value", "period_id", "figures.*")
     )
 
 
@@ -169,21 +180,51 @@ def entity_snapshot_parts(r):
         "loss_codes": top_loss_codes_per_dealer(r).withColumn("dim", F.lit("dealer")),
         "products": product_buckets(r),
         "components": component_buckets(r),
+        "sub_dealers": sub_dealers(r).withColumn("dim", F.lit("agent")),
     }
     amounts = {
         "horizons": "inception.net_reserve", "loss_codes": "total_paid", "products": "net_reserve",
-        "components": "net",
+        "components": "net", "sub_dealers": "claims_paid",
     }
+    return _stored_parts(r, folder, parts, amounts, "dim")
+
+
+def _stored_parts(r: Report, folder: str, parts: dict[str, DataFrame], amounts: dict[str, str], *groups: str) -> DataFrame:
+    """Each part written as a dated table; what stands there, counted and summed."""
     counted = []
     for name, rows in parts.items():
         writers.upsert_snapshot(rows, f"{folder}/{name}", date(2001, 6, 30))
         back = r.spark.read.parquet(f"{folder}/{name}")
         counted.append(
-            back.groupBy(F.lit(name).alias("part"), "as_of", "dim").agg(
-                F.count("*").alias("n"), F.expr(f"sum({amounts[name]})").alias("amount")
+            back.groupBy(F.lit(name).alias("part"), "as_of", *groups).agg(
+                F.count("*").alias("n"), F.expr(f"cast(sum({amounts[name]}) AS double)").alias("amount")
             )
         )
-    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+    return reduce(DataFrame.unionByName, counted)
+
+
+@on_report
+def portfolio_snapshot_parts(r):
+    """The portfolio's stored snapshot as one dated table per part, all columns of each."""
+    parts = {
+        "horizons": r.metrics.where("horizon <> 'month'"),
+        "months": r.metrics.where("horizon = 'month'"),
+        "worst_dealers": worst_dealers_snapshot(r),
+        "dealers": dealer_metrics(r),
+        "agents": agent_metrics(r),
+        "products": product_metrics(r),
+        "loss_codes": loss_code_rows(r),
+        "makes": top_makes(r),
+        "source_counts": source_counts(r),
+    }
+    return _stored_parts(r, scratch_path(r.spark, "portfolio-parts"), parts, _PORTFOLIO_AMOUNTS)
+
+
+_PORTFOLIO_AMOUNTS = {
+    "horizons": "net_reserve", "months": "net_reserve", "worst_dealers": "claims_paid",
+    "dealers": "net_reserve", "agents": "claims_paid", "products": "earned_reserve",
+    "loss_codes": "rolling12_paid", "makes": "paid_amount", "source_counts": "documents",
+}
 
 
 @on_tables
@@ -277,10 +318,8 @@ def stored_tables(r):
     counted = []
     tables = {"contracts": r.all_contract_rows, "claims": r.all_claim_rows, "audits": writers.flatten_audits(audits)}
     for name, before in tables.items():
-        back = r.spark.read.parquet(f"{folder}/{name}").select(*before.columns)
-        # maps cannot be compared as they are
-        plain = lambda df: df.select(F.to_json(F.struct(*df.columns)).alias("row"))
-        lost = plain(before).exceptAll(plain(back)).agg(F.count("*").alias("lost"))
+        back = r.spark.read.parquet(f"{folder}/{name}")
+        lost = _lost(before, back)
         counted.append(
             back.agg(F.count("*").alias("n")).crossJoin(F.broadcast(lost)).select(F.lit(name).alias("name"), "n", "lost")
         )
@@ -888,14 +927,16 @@ def product_lines(r):
     return it.product_lines(contracts, claims)
 
 
-def _summaries(r: Report, dim: str) -> DataFrame:
-    return it.target_summaries(r.dimensions, r.transactions, r.claims, CFG, dim)
+def _summaries(r: Report) -> DataFrame:
+    """Summaries of all dealers and agents, whose rows are found by code or by name."""
+    found = [it.target_summaries(r.dimensions, *_entity_tables(r, dim), CFG, dim) for dim in ("dealer", "agent")]
+    return found[0].unionByName(found[1])
 
 
 @on_report
 def target_summary(r):
-    return _summaries(r, "agent").selectExpr(
-        "dim_value", "display_name", "first_date", "tenure_months", "tenure_years", "maturity",
+    return _summaries(r).selectExpr(
+        "dim", "dim_value", "display_name", "first_date", "tenure_months", "tenure_years", "maturity",
         "rolling_contracts", "rolling_reserve", "rolling_claims", "rolling_loss_ratio",
         "itd_contracts", "itd_reserve", "itd_earned_reserve", "itd_claims", "itd_loss_ratio",
         "itd_claim_frequency", "unearned_reserve", "percent_reserve_earned",
@@ -906,12 +947,12 @@ def target_summary(r):
 
 @on_report
 def target_horizons(r):
-    return it.target_horizons(_summaries(r, "agent"), CFG)
+    return it.target_horizons(_summaries(r), CFG)
 
 
 @on_report
 def target_narratives(r):
-    return it.target_narratives(_summaries(r, "agent"), "agent")
+    return it.target_narratives(_summaries(r))
 
 
 @on_report

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from documents import CANCELLED, cancellation, claim, contract, period, report
 
+from pactlens.operators import intel as it
 from pactlens.operators import losscodes as lc
 from pactlens.sources.schemas import PII_FIELDS
 
@@ -264,3 +265,18 @@ def test_blank_claim_number_finds_blank_contract(spark, folder):
     )
     row = rep.dimension_table(["product"]).where("period_id = 'inception'").first()
     assert (row.dim_value, row.claims_paid) == ("GAP", D(1))
+
+
+def test_a_target_has_the_rows_known_by_its_name_alone(spark, tmp_path):
+    rep = report(
+        spark, tmp_path,
+        [contract("a", "C1", "07/05/2026", DealerNumber="D1", DealerName="Dealer One", Agent="AG1", AgentName="Agent One"),
+         contract("b", "C2", "07/06/2025", DealerNumber="", DealerName="Dealer One", Agent="Agent One")],
+        claims=[claim("p", "CL1", "C9", "07/10/2026", "70", **{"Selling Dealer Number": "", "Loss Code": "zz1"})],
+    )
+    rep._materialise = True
+    rows = rep.of_entities(rep.transactions, "dealer", "dealer_number", "dealer_name")
+    lines = rep.of_entities(rep.claims, "dealer", "dealer", "dealer_name")
+    found = {r["dim_value"]: r for r in it.target_summaries(rep.dimensions, rows, lines, rep.cfg, "dealer").collect()}
+    assert found["D1"]["top_code"]["loss_code"] == "ZZ1" and str(found["D1"]["top_code"]["amount"]).startswith("70")
+    assert str(found["D1"]["first_date"]) < "2026"  # the contract sold under the name alone
