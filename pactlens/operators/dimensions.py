@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pactlens.functions import scalars as s
 from pactlens.operators import dedupe as dd
 from pactlens.operators import metrics as m
+from pactlens.operators.ranking import ranked
 
 DIMENSIONS = ["dealer", "agent", "product"]
 
@@ -149,14 +152,18 @@ def ordered(*order: str) -> list[Column]:
     return [F.desc(p[0]) if p[-1] == "DESC" else F.asc(p[0]) for p in pairs]
 
 
-def top_table(dims: DataFrame, limit: int | None) -> DataFrame:
-    """Ranked rows of each dimension and period; with a limit only the first ``limit``.
+def top_table(dims: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows of each dimension and period, ranked.
 
-    A limited ranking is cut in every task before rows of a group meet.
+    The ranking is cut in every task before rows of a group meet.
     """
     window = W.partitionBy("dim", "period_id").orderBy(*ordered(*RANKING))
-    ranked = dims.withColumn("rank", F.row_number().over(window))
-    return ranked if limit is None else ranked.where(F.col("rank") <= limit)
+    return dims.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= limit)
+
+
+def whole_table(dims: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All rows of each dimension and period, ranked; ``keep`` writes a table and reads it back."""
+    return ranked(dims, ["dim", "period_id"], ordered(*RANKING), keep)
 
 
 def numbered_top(df: DataFrame, order: list[str], limit: int) -> DataFrame:

@@ -143,6 +143,7 @@ def portfolio_top(rows: DataFrame, limit: int = 5) -> DataFrame:
         "rolling12_claim_count",
         "coalesce(rolling12_average, 0D) AS rolling12_average",
         "coalesce(rolling12_share, 0D) AS rolling12_share",
+        # fixed values: the labels
         "CASE WHEN rolling12_share > 0.15D THEN 'Primary Enterprise Loss Driver'"
         " ELSE 'Standard Exposure' END AS classification",
     )

@@ -718,7 +718,9 @@ def claim_attribution(r):
 @on_report
 def topn_tables(r):
     top = dm.top_table(r.dimensions.where("dim = 'dealer' AND period_id <> 'inception'"), 20)
-    rest = dm.top_table(r.dimensions.where("dim <> 'dealer' AND period_id <> 'inception'"), None)
+    rest = dm.whole_table(
+        r.dimensions.where("dim <> 'dealer' AND period_id <> 'inception'"), lambda df: r.keep(df, "ranking")
+    )
     return top.unionByName(rest).select(
         "dim", "period_id", "rank", "dim_value", "net_admin", "net_reserve", "cancellation_rate"
     )

@@ -45,7 +45,8 @@ class Report:
         self.audits = audits
         self._materialise = materialise
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder and read back."""
         if not self._materialise:
             return df
         path = scratch_path(self.spark, name)
@@ -65,7 +66,7 @@ class Report:
     @cached_property
     def all_contract_rows(self) -> DataFrame:
         """Normalised contract rows of all dates, with whole curves."""
-        return self._keep(nz.normalize_contracts(self.evaluated_contracts, self.cfg), "contract-rows")
+        return self.keep(nz.normalize_contracts(self.evaluated_contracts, self.cfg), "contract-rows")
 
     @cached_property
     def contract_rows(self) -> DataFrame:
@@ -74,7 +75,7 @@ class Report:
     @cached_property
     def all_claim_rows(self) -> DataFrame:
         """Normalised payment lines of all dates."""
-        return self._keep(nz.normalize_claims(self.evaluated_claims), "claim-rows")
+        return self.keep(nz.normalize_claims(self.evaluated_claims), "claim-rows")
 
     @cached_property
     def claim_rows(self) -> DataFrame:
@@ -83,21 +84,21 @@ class Report:
     @cached_property
     def ledger(self) -> DataFrame:
         rows = nz.reporting_curves(self.contract_rows, self.cfg)
-        return self._keep(dd.contract_ledger(rows), "ledger")
+        return self.keep(dd.contract_ledger(rows), "ledger")
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._keep(dd.contract_transactions(self.ledger, self.cfg), "transactions")
+        return self.keep(dd.contract_transactions(self.ledger, self.cfg), "transactions")
 
     @cached_property
     def claims(self) -> DataFrame:
-        return self._keep(dd.dedupe_claims(self.claim_rows), "claims")
+        return self.keep(dd.dedupe_claims(self.claim_rows), "claims")
 
     @cached_property
     def issues(self) -> DataFrame:
         """Problems of raw documents, written once for all users."""
         found = nz.contract_issues(self.evaluated_contracts, self.cfg)
-        return self._keep(found.unionByName(nz.claim_issues(self.evaluated_claims)), "issues")
+        return self.keep(found.unionByName(nz.claim_issues(self.evaluated_claims)), "issues")
 
     # periods
 
@@ -127,11 +128,11 @@ class Report:
     @cached_property
     def dimensions(self) -> DataFrame:
         """Dealer, agent and product metrics of the four horizons, written once for all users."""
-        return self._keep(self.dimension_table(dm.DIMENSIONS), "dimensions")
+        return self.keep(self.dimension_table(dm.DIMENSIONS), "dimensions")
 
     @cached_property
     def entity_keys(self) -> DataFrame:
-        return self._keep(dd.entity_keys(self.dimensions), "entity-keys")
+        return self.keep(dd.entity_keys(self.dimensions), "entity-keys")
 
     def of_entities(self, rows: DataFrame, dim: str, code: str, name: str) -> DataFrame:
         return dd.entity_rows(rows, self.entity_keys, dim, code, name)

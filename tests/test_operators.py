@@ -15,6 +15,7 @@ from pactlens.functions import components as comp
 from pactlens.functions import scalars as s
 from pactlens.operators import dedupe as dd
 from pactlens.operators import dimensions as dm
+from pactlens.operators import ranking
 from pactlens.plans.queries import CFG, QUERIES, report
 from pactlens.sources import readers, writers
 from pactlens.sources.schemas import PII_FIELDS
@@ -266,3 +267,28 @@ def test_narratives_read_as_sentences(rep, spark):
     assert all("since the first contract, a loss ratio of" in r.narrative for r in rows)
     text = QUERIES["portfolio_narrative"](spark, SF).first().narrative
     assert text.startswith(f"{CFG.company_name} since inception: ") and "years on the books" in text
+
+
+@pytest.mark.parametrize("groups", [["g"], ["g", "h"], []])
+def test_ranks_of_groups_over_many_partitions(spark, tmp_path, groups):
+    df = spark.range(20_000).selectExpr(
+        "id", "if(id % 10 < 7, 'hot', concat('g', id % 50)) AS g", "id % 2 AS h", "(id * 7919) % 1009 AS v"
+    )
+    kept = []
+
+    def keep(x):
+        path = str(tmp_path / "kept")
+        x.write.mode("overwrite").parquet(path)
+        kept.append(spark.read.parquet(path))
+        return kept[0]
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = ranking.ranked(df, groups, [F.desc("v"), F.asc("id")], keep)
+        by = f"PARTITION BY {', '.join(groups)}" if groups else ""
+        wanted = df.selectExpr("*", f"cast(row_number() OVER ({by} ORDER BY v DESC, id) AS long) AS rank")
+        assert found.exceptAll(wanted.select(found.columns)).count() == 0 and found.count() == 20_000
+        # the hot group lies in many partitions
+        assert kept[0].where("g = 'hot'").select("_part").distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
