@@ -62,19 +62,18 @@ _memories: dict[str, Callable[[], None]] = {}
 
 
 def remembers(name: str, forget: Callable[[], None]) -> None:
-    """Name a memory that workers keep from task to task; tasks of other operators ``forget`` it."""
+    """Name a memory that an operator's workers keep from task to task; tasks of ``returning`` operators ``forget`` it."""
     _memories[name] = forget
 
 
-def returning(work: Callable[..., Iterator], memory: str | None = None) -> Callable[..., Iterator]:
-    """``work`` on the batches of a task, which gives its memory back at its end, but for the ``memory`` it
-    uses; a worker holds no other operator's."""
+def returning(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``work`` on the batches of a task, which gives its memory back at its end and holds no named memory
+    of another operator."""
 
     @functools.wraps(work)
     def run(*batches):
-        for name, forget in _memories.items():
-            if name != memory:
-                forget()
+        for forget in _memories.values():
+            forget()
         try:
             yield from work(*batches)
         finally:
