@@ -9,8 +9,13 @@ edges, from the distrusted seeds it goes against them: who links to spam is susp
 of distrust is compared with its share of trust: a url without a rule is blocked if its host's
 distrust is above ``THRESHOLD`` times its trust, else allowed. A host that neither reaches is allowed.
 
-Hosts are few against pages, but nothing of the graph comes to the driver: every round is a join and
-an aggregate over written tables, and a page gets its host's verdict by a join that Spark can split.
+Rounds go on until no host's share has changed by more than ``TOLERANCE`` of itself. A host reached for
+the first time counts as wholly changed, so every host that links lead to gets its share, however far it
+lies; the number of rounds is at most about that distance and log(TOLERANCE) / log(DAMPING) more.
+
+Hosts are few against pages, but nothing of the graph comes to the driver, only each round's largest
+change: a round is a join and an aggregate over written tables, and a page gets its host's verdict by a
+join that Spark can split.
 
 Rows: a null url, or one without ``://``, has empty host and path, no rule, and is allowed; null html
 has no links; repeated rows are judged alike; a null page_id is passed on.
@@ -26,7 +31,7 @@ from pyspark.sql import functions as F
 from pactlens.llm import common as c
 
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-4
 THRESHOLD = 2.0
 
 
@@ -91,34 +96,36 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
+) -> DataFrame:
     """(host, share): personalised PageRank from ``seeds`` (host, share) along (source, target, weight).
 
-    What reaches a host without outgoing edges goes back to the seeds. Shares sum to 1.
+    What reaches a host without outgoing edges goes back to the seeds. That only makes all shares larger by
+    one factor, so a round adds what walks of one more link bring, and the sums are scaled to 1 at the end.
+    ``tolerance`` is the largest addition of the last round to any host, as a part of its sum.
     """
     out = edges.groupBy("source").agg(F.sum("weight").alias("total"))
     steps = c.kept_table(
         edges.join(out, "source").selectExpr("source", "target", "weight / total AS part"), "steps"
     )
-    now = seeds
     if steps.isEmpty():
-        return now
-    for i in range(rounds):
-        moved = (
-            now.join(steps, now["host"] == steps["source"])
-            .groupBy("target")
-            .agg((damping * F.sum(F.col("share") * F.col("part"))).alias("share"))
-        )
-        arrived = moved.agg(F.coalesce(F.sum("share"), F.lit(0.0)).alias("sum"))  # one row
-        back = seeds.crossJoin(F.broadcast(arrived)).selectExpr("host", "share * (1 - sum) AS share")
+        return seeds
+    now, i, change = seeds.withColumn("new", F.col("share")), 0, 1.0
+    while change > tolerance:
+        moved = now.where("new > 0").join(steps, now["host"] == steps["source"])
+        moved = moved.selectExpr("target AS host", f"{damping!r}D * new * part AS new")
         now = c.kept_table(
-            moved.select(F.col("target").alias("host"), "share")
-            .unionByName(back)
+            moved.selectExpr("host", "new AS share", "new")
+            .unionByName(now.selectExpr("host", "share", "0D AS new"))
             .groupBy("host")
-            .agg(F.sum("share").alias("share")),
+            .agg(F.sum("share").alias("share"), F.sum("new").alias("new")),
             f"shares-{i}",
         )
-    return now
+        largest = now.where("new > 0").agg(F.max(F.expr("new / share")).alias("change")).first()
+        i, change = i + 1, largest["change"] or 0.0
+    total = now.agg(F.sum("share").alias("total"))  # one row
+    return now.crossJoin(F.broadcast(total)).selectExpr("host", "share / total AS share")
 
 
 def _seeds(hosts: DataFrame, pages: str) -> DataFrame:
@@ -128,7 +135,7 @@ def _seeds(hosts: DataFrame, pages: str) -> DataFrame:
 
 
 def host_verdicts(
-    pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD
+    pages: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, threshold: float = THRESHOLD
 ) -> DataFrame:
     """(host, trust, distrust, host_verdict) from pages with host, rule_verdict and html."""
     hosts = c.kept_table(
@@ -142,8 +149,8 @@ def host_verdicts(
     )
     edges = c.kept_table(host_edges(pages), "host-edges")
     against = edges.selectExpr("target AS source", "source AS target", "weight")
-    trust = spread(edges, _seeds(hosts, "allowed"), damping, rounds)
-    distrust = spread(against, _seeds(hosts, "blocked"), damping, rounds)
+    trust = spread(edges, _seeds(hosts, "allowed"), damping, tolerance)
+    distrust = spread(against, _seeds(hosts, "blocked"), damping, tolerance)
     return (
         hosts.select("host")
         .join(trust.withColumnRenamed("share", "trust"), "host", "left")
