@@ -9,7 +9,8 @@ that are still alive: for each, the tokens since the last place all of them shar
 prefix read from there. When an alive place is left, the tokens common to all the others are emitted.
 No token is longer than the longest one of the vocabulary, so the lookahead is bounded by it.
 States and transitions are made when they are needed again and dropped together when there are
-``MOST_STATES``; that changes the time taken and nothing else.
+``MOST_STATES``, also inside a piece, which goes on from the state it is in; that changes the time taken
+and nothing else.
 
 Rows: null text is empty (no tokens); a null doc_id is passed on; repeated rows are encoded alike;
 other columns are ignored.
@@ -141,11 +142,14 @@ class Transducer:
         self.words = vocabulary
         self._clear()
 
-    def _clear(self) -> None:
+    def _clear(self, state: int = 0) -> int:
+        """Forget all states but the start and ``state``; its new number."""
         start = (((), -1, 0),)
-        self.number = {start: 0}
-        self.states = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]] | None]] = [{}]
+        kept = [start] if state == 0 else [start, self.states[state]]
+        self.number = {key: n for n, key in enumerate(kept)}
+        self.states = kept
+        self.steps: list[dict[int, tuple[int, tuple[int, ...]] | None]] = [{} for _ in kept]
+        return len(kept) - 1
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         words = self.words
@@ -215,8 +219,6 @@ class Transducer:
         and what only they need is worked out without it. Long pieces always use the machine, whose
         state does not grow with what has been read.
         """
-        if len(self.states) > MOST_STATES:
-            self._clear()
         state, out, steps = 0, [], self.steps
         for i, byte in enumerate(piece):
             found = steps[state].get(byte)
@@ -224,6 +226,9 @@ class Transducer:
                 if byte not in steps[state] and len(piece) <= SHORT_PIECE:
                     steps[state][byte] = None
                     return out + self._undetermined(state, piece[i:])
+                if len(self.states) >= MOST_STATES:
+                    state = self._clear(state)
+                    steps = self.steps
                 found = self._step(state, byte)
             state, tokens = found
             if tokens:
