@@ -72,7 +72,7 @@ def lenient_number(value: str, dtype: str = MONEY) -> str:
     return f"coalesce(cast({wide} AS {dtype}), cast(0 AS {dtype}))"
 
 
-# Shapes of dates that are read, and the pattern of their day; ISO forms are cast instead.
+# Usual shapes of dates, and the pattern of their day; ISO forms are cast instead.
 _DAY_SHAPES = [
     ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}([^0-9]|$)", "M/d/yyyy"),
     ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}([^0-9]|$)", "yyyy/M/d"),
@@ -84,11 +84,8 @@ _SHORT_YEAR = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}([^0-9]|$)"
 _ISO = "^[0-9]{4}(-[0-9]{2}(-[0-9]{2}([T ].*)?)?)?$"
 
 
-def lenient_timestamp(value: str) -> str:
-    """Timestamp to the second of a US slash or dash date, an ISO date, a date with an English month,
-    each with or without a time of day; else NULL. A time of day alone is no date. Two-digit years
-    from 50 on are of the last century.
-    """
+def _usual_timestamp(value: str) -> str:
+    """Timestamp of the spellings that feeds are full of, in generated code."""
     raw = trimmed(value)
     plain = f"replace({raw}, ',', '')"
 
@@ -109,6 +106,70 @@ def lenient_timestamp(value: str) -> str:
     )
 
 
+# One pattern for all other spellings: a word such as the weekday, a day in one of five orders, a time
+# of day with an offset, a zone that means UTC, a remark in brackets. Its groups are put in one order:
+# year; month; day; hour; minute; second; AM or PM; offset.
+_DATE = (
+    "^(?:[A-Za-z]+[.]? +)?"
+    "(?:([0-9]{4})[-/ ]([0-9]{1,2})[-/ ]([0-9]{1,2})"
+    "|([0-9]{1,2})[-/ ]([0-9]{1,2})[-/ ]([0-9]{4}|[0-9]{2})"
+    "|([A-Za-z]{3,})[-./ ]*([0-9]{1,2})[-/ ]+([0-9]{4}|[0-9]{2})"
+    "|([0-9]{1,2})[-/ ]*([A-Za-z]{3,})[-./ ]*([0-9]{4}|[0-9]{2})"
+    "|([0-9]{4})(?:-([0-9]{2}))?)"
+    "(?:(?:[Tt]| +)([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.][0-9]*)?)? *([AaPp][Mm])?"
+    " *(?:Z|z|UTC|GMT)? *([-+][0-9]{2}:?[0-9]{2})?)?"
+    " *(?:Z|UTC|GMT)?(?: *[(][^)]*[)])?$"
+)
+_DATE_PARTS = "$1$6$9$12$13;$2$4$7$11$14;$3$5$8$10;$15;$16;$17;$18;$19"
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+
+
+def _rare_timestamp(value: str) -> str:
+    """Timestamp of any spelling: the text is read once, all else is arithmetic on its parts.
+
+    Lambdas are not compiled, so this is some twenty times as dear as a usual spelling.
+    """
+    plain = f"translate({trimmed(value)}, ',;', ' ?')"
+    parts = f"split(regexp_replace({plain}, '{_DATE}', '{_DATE_PARTS}'), ';')"
+    number = lambda i: f"try_cast(get(p, {i}) AS int)"
+    year = (
+        f"{number(0)} + CASE WHEN length(get(p, 0)) > 2 THEN 0 WHEN {number(0)} >= 50 THEN 1900 ELSE 2000 END"
+    )
+    # a year alone has an empty month, found at the first place: January
+    month = f"coalesce({number(1)}, (locate(lower(left(get(p, 1), 3)), '{_MONTHS}') + 3) div 4)"
+    hour = (
+        f"CASE WHEN get(p, 6) = '' THEN coalesce({number(3)}, 0) WHEN {number(3)} > 12 THEN 25"
+        f" ELSE {number(3)} % 12 + CASE WHEN lower(get(p, 6)) = 'pm' THEN 12 ELSE 0 END END"
+    )
+    offset = "coalesce(try_cast(replace(get(p, 7), ':', '') AS int), 0)"
+    fields = (
+        f"named_struct('y', {year}, 'm', {month}, 'd', coalesce({number(2)}, 1), 'h', {hour},"
+        f" 'i', coalesce({number(4)}, 0), 's', coalesce({number(5)}, 0), 'o', {offset})"
+    )
+    moment = (
+        "CASE WHEN t.m BETWEEN 1 AND 12 AND t.d BETWEEN 1 AND 31 AND t.i < 60 AND t.s < 60"
+        " AND t.h * 3600 + t.i * 60 + t.s <= 86400 THEN timestamp_seconds("
+        "(unix_date(make_date(t.y, t.m, 1)) + t.d - 1) * 86400L + t.h * 3600 + t.i * 60 + t.s"
+        " - (t.o div 100) * 3600 - (t.o % 100) * 60) END"
+    )
+    # lambdas over one element, so that the parts and the numbers are worked out once
+    read = f"filter(array({parts}), p -> size(p) = 8)"
+    return f"get(transform(transform({read}, p -> {fields}), t -> {moment}), 0)"
+
+
+def lenient_timestamp(value: str) -> str:
+    """Timestamp to the second of a date in ISO, US or year-first order or with an English month, with or
+    without a time of day; else NULL. A time of day alone is no date.
+
+    Parts are joined by dashes, slashes or blanks, commas count as blanks, and a weekday before the day is
+    ignored. Days up to 31 run over into the next month (30 February is 1 or 2 March). Two-digit
+    years from 50 on are of the last century. Without an offset the time is UTC.
+    """
+    return (
+        f"coalesce({_usual_timestamp(value)}, CASE WHEN {value} RLIKE '[0-9]' THEN {_rare_timestamp(value)} END)"
+    )
+
+
 def lenient_date(value: str) -> str:
     return f"cast({lenient_timestamp(value)} AS date)"
 
@@ -123,10 +184,11 @@ def object_id_timestamp(value: str) -> str:
 
 def snapshot_timestamp(candidates: str, source_id: str) -> str:
     """First usable one of an array of extraction dates, else the object id's time, else the epoch."""
-    dated = f"filter(transform({candidates}, d -> {lenient_timestamp('d')}), t -> t IS NOT NULL)"
-    return (
-        f"coalesce(get({dated}, 0), {object_id_timestamp(source_id)}, timestamp_seconds(0))"
+    first = (
+        f"aggregate({candidates}, cast(NULL AS timestamp),"
+        f" (found, d) -> coalesce(found, {lenient_timestamp('d')}))"
     )
+    return f"coalesce({first}, {object_id_timestamp(source_id)}, timestamp_seconds(0))"
 
 
 def classify_transaction(type_text: str, status: str) -> str:

@@ -270,13 +270,21 @@ def unread_dates(contracts: DataFrame, claims: DataFrame) -> DataFrame:
     """Date texts that are not empty and still gave no date, per field (of evaluated documents)."""
     def unread(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
         rows = ", ".join(
-            f"CASE WHEN trim({t}) <> '' AND {d} IS NULL THEN '{t}' END" for t, d in fields
+            f"CASE WHEN {s.text(t)} <> '' AND {d} IS NULL THEN '{t}' END" for t, d in fields
+        )
+        rows += (
+            f", CASE WHEN exists(extraction, t -> {s.text('t')} <> '' AND {s.lenient_timestamp('t')} IS NULL)"
+            " THEN 'extraction' END"
         )
         return df.selectExpr(f"explode(array_compact(array({rows}))) AS field")
 
     rows = unread(
-        contracts, [("activation", "activation_date"), ("cancel_bill", "cancel_date")]
+        contracts,
+        [
+            ("activation", "activation_date"), ("cancel_bill", "cancel_date"),
+            ("effective", "stated_effective_date"),
+        ],
     ).unionByName(
-        unread(claims, [(c, s.lenient_date(c)) for c in ("date_paid", "date_reported")])
+        unread(claims, [("date_paid", "paid_date"), ("date_reported", "reported_date")])
     )
     return rows.groupBy("field").agg(F.count("*").alias("documents"))

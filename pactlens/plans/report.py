@@ -57,11 +57,18 @@ class Report:
 
     @cached_property
     def evaluated_contracts(self) -> DataFrame:
-        return nz.evaluate_contracts(self.contract_documents)
+        """All contract documents, parsed once for rows, issues and checks."""
+        return self.keep(nz.evaluate_contracts(self.contract_documents), "contract-documents")
 
     @cached_property
     def evaluated_claims(self) -> DataFrame:
-        return nz.evaluate_claims(self.claim_documents)
+        """All claim documents, parsed once.
+
+        Lines are narrow and their parsing is not, so they are spread by contract before it: a feed may
+        come in few splits. The hint lets Spark split what a contract, or the lack of one, makes too large.
+        """
+        documents = self.claim_documents.hint("rebalance", "contract_no")
+        return self.keep(nz.evaluate_claims(documents), "claim-documents")
 
     @cached_property
     def all_contract_rows(self) -> DataFrame:

@@ -171,7 +171,7 @@ def test_numbers_and_dates(spark):
         ("1.23456", "1.2346", "2026-07-05T10:11:12+02:00", "2026-07-05 08:11:12"),
         ("1E2", "100.0000", "2026-07-05 10:11:12", "2026-07-05 10:11:12"),
         ("null", "0.0000", "soon", None),
-        ("(5)", "0.0000", "2/30/2024", None),
+        ("(5)", "0.0000", "2/30/2024", "2024-03-01 00:00:00"),
         ("5-", "0.0000", "12/31/1999 12:00:00 AM", "1999-12-31 00:00:00"),
         ("1,234,567.89", "1234567.8900", "Dec 31 1999", "1999-12-31 00:00:00"),
         ("\ufeff3", "3.0000", "5/1/2021x", None),
@@ -182,6 +182,47 @@ def test_numbers_and_dates(spark):
     assert [(str(r.a), r.d and str(r.d)) for r in rows] == [(a, d) for _, a, _, d in cases]
 
 
+def test_spellings_of_dates(spark):
+    same_day = [
+        "2024-1-5", "2024-01-5", "2024/1/5", "5 Jan 2024", "05 Jan 2024", "5-Jan-2024", "05-JAN-24", "Jan 5 24",
+        "Fri Jan 05 2024", "Fri, 05 Jan 2024", "Friday, January 5, 2024", "January 5,2024", "jan. 5 2024", "1-5-24",
+        "01 05 2024", "Fri, 05 Jan 2024 00:00:00 GMT", "Fri Jan 05 2024 00:00:00 GMT+0000 (Coordinated Universal Time)",
+        "2024-01-05T00:00Z", "2024-01-05T05:30:00+05:30", "2024-01-04T19:00:00-0500", "2024-01-04 24:00:00",
+        "1/5/2024 12:00 AM", "1/5/2024 12:00:00am", "2024-01-05T00:00:00.000Z", "2024-01-05 00:00:00.999999",
+    ]
+    other = [
+        ("02/30/2024", "2024-03-01 00:00:00"), ("2023-02-31", "2023-03-03 00:00:00"), ("12/31/49", "2049-12-31 00:00:00"),
+        ("12/31/50", "1950-12-31 00:00:00"), ("1/5/2024 12:30 PM", "2024-01-05 12:30:00"), ("0099-03", "0099-03-01 00:00:00"),
+        ("5 Sept 2024 7:08", "2024-09-05 07:08:00"), ("2024-01-05 23:30:00 -01:00", "2024-01-06 00:30:00"),
+        ("1969-12-31T23:59:59Z", "1969-12-31 23:59:59"),
+        ("2/32/2024", None), ("0/5/2024", None), ("2024-13-01", None), ("5 Foo 2024", None), ("1/5/2024 13:00 PM", None),
+        ("1/5/2024 24:00:01", None), ("1/5/2024 10:60", None), ("2024;01;05;;;;;", None), ("202", None), ("1/5", None),
+        ("2024-01-05T", None), ("an fe 5 2024", None), ("1/5/20245", None), (";;;;;;;", None),
+    ]
+    cases = [(d, "2024-01-05 00:00:00") for d in same_day] + other
+    df = spark.createDataFrame(cases, "d string, want string")
+    rows = df.selectExpr("d", "want", f"cast({s.lenient_timestamp('d')} AS string) AS got").collect()
+    assert [(r.d, r.got) for r in rows] == [(r.d, r.want) for r in rows]
+
+
+def test_first_readable_extraction_date_counts(spark):
+    df = spark.createDataFrame(
+        [(["soon", None, "1/5/2024", "1/6/2024"], "x"), (["", None], "65920080aaaaaaaaaaaaaaaa"), ([], "x"), (None, "x")],
+        "c array<string>, i string",
+    )
+    rows = df.selectExpr(f"cast({s.snapshot_timestamp('c', 'i')} AS string) AS t").collect()
+    assert [r.t[:10] for r in rows] == ["2024-01-05", "2024-01-01", "1970-01-01", "1970-01-01"]
+
+
+def test_documents_are_parsed_once(rep):
+    rep.contract_rows, rep.claim_rows, rep.issues
+    for df in (rep.all_contract_rows, rep.all_claim_rows, rep.issues, rep.evaluated_contracts, rep.evaluated_claims):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_replace" not in plan and "Join" not in plan
+    files = set(rep.issues.inputFiles()) | set(rep.evaluated_claims.inputFiles()) | set(rep.evaluated_contracts.inputFiles())
+    assert not any("/testdata/" in f for f in files)
+
+
 def test_blanks_of_all_kinds_are_trimmed(spark):
     df = spark.createDataFrame([("\tA B\n",), ("\u00a0A B\u2003",), ("\ufeffA B ",), ("A B",)], "t string")
     rows = df.selectExpr(f"{s.text('t')} AS t", f"{s.business_id('t')} AS i").distinct().collect()
