@@ -366,22 +366,63 @@ modification, are permitted provided that the following conditions are met:
 
 
 def test_a_rule_needs_the_whole_wording(spark):
+    gpl3 = licences.gnu_rules()[0]["gpl-3.0-or-later-0"]
     hope = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without"
-    other = licences.SENTENCES["gpl-redistribute"].replace("version 3", "version 2").replace("software:", "software;")
-    rows = [(1, other + hope), (2, licences.SENTENCES["gpl-redistribute"] + hope)]
+    other = gpl3.replace("version 3", "version 2").replace("software:", "software;")
+    lesser = gpl3.replace("GNU General", "GNU Lesser General").replace("program", "library")
+    rows = [
+        (1, other + hope), (2, gpl3 + hope), (3, lesser + hope.replace("program", "library")), (4, lesser + hope),
+        (5, gpl3.replace("GNU General", "GNU Affero General") + hope), (6, gpl3.replace("either ", "") + hope),
+    ]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
-    assert found == {1: "", 2: "GPL-3.0-or-later"}
+    assert found == {
+        1: "GPL-2.0-or-later", 2: "GPL-3.0-or-later", 3: "LGPL-3.0-or-later", 4: "", 5: "AGPL-3.0-or-later", 6: "",
+    }
+
+
+def test_every_licence_is_found_in_its_own_words(spark):
+    sentences = {**licences.SENTENCES, **licences.gnu_rules()[0]}
+    rules = [*licences.RULES, *licences.gnu_rules()[1]]
+    told = [*[(x, " ".join(sentences[n] for n in names)) for x, names in rules],
+            *[(x, s) for x, own in licences.references().items() for s in own]]
+    rows = [(i, "Some words.\n\n# " + textwrap.fill(text, 50).replace("\n", "\n# ") + "\nand more") for i, (_, text) in enumerate(told)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["licences"], r["n_unmatched"]) for r in licences.scan(df).collect()}
+    assert found == {i: (name, 0) for i, (name, _) in enumerate(told)}
+    assert len({name for name, _ in told}) >= 50
+
+
+def test_shared_and_nested_sentences(spark):
+    known = {"a b": "ab", "a b c d": "abcd", "c d": "cd", "b c": "bc", "e": "e"}
+    rules = [("both", ["abcd", "e"]), ("one", ["e"]), ("two", ["ab", "e"])]
+    rows = [
+        (1, "a b\nc d\ne"), (2, "A-B. C\nD; e"), (3, "a\nb\nc\n\nd"), (4, "a b c d e"), (5, "b\nc d"),
+        (6, "a " * 300000 + "b"), (7, "a b x\na b.\te"), (8, "e\n" * 3000),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["identifiers"], r["licences"]) for r in licences.scan(df, known, rules).collect()}
+    assert found.pop(8) == (",".join(["e"] * 3000), "one")
+    assert found == {
+        1: ("abcd,e", "both"), 2: ("ab,cd,e", "one"), 3: ("ab,bc", ""), 4: ("", ""), 5: ("cd", ""),
+        6: ("", ""), 7: ("ab,e", "two"),
+    }
 
 
 def test_licences_oracle(spark):
-    path = "/root/testdata/sf0.001/documents.parquet"
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    wrapped = [
+        (-i, "words\n" + "".join(f" * {x}\r\n" for x in textwrap.wrap(" ".join(licences.SENTENCES[n] for n in names), width)))
+        for i, (names, width) in enumerate(((names, width) for _, names in licences.RULES for width in (30, 72)), 1)
+    ]
+    odd = [(None, "Licensed under MIT.\nReleased under\nthe MIT\nLicense"), (-90, None), (-91, "A.\x0bB; C\x1fthis\nis")]
+    docs = given.union(spark.createDataFrame([*wrapped, *odd], given.schema))
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    con.register("documents", docs.toArrow())
     result = con.execute(licences.oracle_sql())
     names = [d[0] for d in result.description]
     expected = sorted(map(repr, result.fetchall()))
-    assert messy.as_set(licences.scan(spark.read.parquet(path)), *names) == expected
+    assert messy.as_set(licences.scan(docs), *names) == expected
 
 
 # ---- packing ----
