@@ -44,11 +44,12 @@ def dimension_metrics(
     periods: DataFrame,
     dims: list[str] = DIMENSIONS,
     sold: DataFrame | None = None,
+    partners: DataFrame | None = None,
 ) -> DataFrame:
     """All measures per dimension value and period, with display name and related entities.
 
     A value is listed for any transaction in the period, or for a claim of its own. ``sold`` are the
-    contract measures, where they are known already.
+    contract measures and ``partners`` the ``related_pairs``, where they are known already.
     """
     key = ["dim", "dim_value", "period_id"]
     state = m.ledger_state(ledger, dims)
@@ -85,7 +86,7 @@ def dimension_metrics(
     )
     return (
         listed.join(_first_names(state), ["dim", "dim_value"], "left")
-        .join(_related(state, periods), key, "left")
+        .join(_related(related_pairs(state, periods) if partners is None else partners), key, "left")
         .selectExpr(
             *key,
             "CASE dim WHEN 'dealer' THEN coalesce(first_dealer_name, claim_dealer_name)"
@@ -115,19 +116,15 @@ def _first_names(state: DataFrame) -> DataFrame:
     )
 
 
-def _related(state: DataFrame, periods: DataFrame) -> DataFrame:
-    """Agents of a dealer and dealers of an agent, in period, sorted.
-
-    Pairs are reduced to distinct ones before they are gathered, so a list is as long as the
-    number of partners it names.
-    """
+def related_pairs(state: DataFrame, periods: DataFrame) -> DataFrame:
+    """Agents of a dealer and dealers of an agent, in period: (dim, dim_value, period_id, partner), distinct."""
     sides = ", ".join(
         f"CASE WHEN own_{x} THEN named_struct('day', {x}_activity_date, 'partner',"
         f" CASE WHEN dim = 'dealer' THEN {x}_agent"
         f" ELSE {s.or_else(f'{x}_dealer_name', f'{x}_dealer_number')} END) END"
         for x in ("w", "k")
     )
-    pairs = (
+    return (
         state.where("dim IN ('dealer', 'agent')")
         .selectExpr("dim", "dim_value", f"inline(array_compact(array({sides})))")
         .where(
@@ -138,6 +135,10 @@ def _related(state: DataFrame, periods: DataFrame) -> DataFrame:
         .select("dim", "dim_value", "period_id", "partner")
         .distinct()
     )
+
+
+def _related(pairs: DataFrame) -> DataFrame:
+    """The pairs as sorted lists, for display."""
     return pairs.groupBy("dim", "dim_value", "period_id").agg(
         F.array_sort(F.collect_list("partner")).alias("related")
     )
@@ -207,10 +208,10 @@ def worst_dealers(dealers: DataFrame, count_net: bool, limit: int = 20) -> DataF
     return numbered_top(named, ["earned_loss_ratio DESC", "dim_value ASC"], limit)
 
 
-def sub_dealers(agents: DataFrame, dealers: DataFrame) -> DataFrame:
-    """All-time figures of the dealers listed under each agent; unknown dealers get zeros.
+def sub_dealers(partners: DataFrame, dealers: DataFrame) -> DataFrame:
+    """All-time figures of the dealers of each agent; unknown dealers get zeros.
 
-    Of several dealers known under one name the last in ranking order is meant.
+    ``partners`` are the agents' ``related_pairs``, so no list of dealers is ever in one row. Of several dealers known under one name the last in ranking order is meant.
     """
     figures = ["contracts_written", "active_contracts", "claims_paid", "earned_reserve"]
     kept = ", ".join(["display_name", *figures, "earned_loss_ratio"])
@@ -224,7 +225,7 @@ def sub_dealers(agents: DataFrame, dealers: DataFrame) -> DataFrame:
         .agg(F.max_by("d", "place").alias("d"))
     )
     return (
-        agents.selectExpr("dim_value AS agent", "explode(related_dealers) AS dealer_name")
+        partners.selectExpr("dim_value AS agent", "partner AS dealer_name")
         .join(by_name, "dealer_name", "left")
         .selectExpr(
             "agent",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,13 +11,23 @@ from pyspark.sql import functions as F
 from pactlens.config import ReportConfig
 from pactlens.functions import scalars as s
 from pactlens.operators.dimensions import numbered_top
+from pactlens.operators.ranking import ranked
 
 
-def claim_benchmark(claims: DataFrame, least: int = 5, width: float = 1.5) -> DataFrame:
+def claim_benchmark(
+    claims: DataFrame,
+    keep: Callable[[DataFrame], DataFrame],
+    least: int = 5,
+    width: float = 1.5,
+    slice_rows: int = 4096,
+) -> DataFrame:
     """Payment statistics per loss code and make, with the outlier threshold.
 
-    The median is exact and found on value counts: payments of one amount are combined before
-    the shuffle, so a group is never longer than the number of different amounts in it.
+    The median is exact and found on value counts, payments of one amount being combined before the
+    shuffle. The different amounts of a group are cut into slices by rank; sums of the slices tell
+    which one or two hold the middle, and only those are summed up amount by amount. No task holds
+    more than a slice of a group, or one sum for each of its slices. ``keep`` writes a table and
+    reads it back.
     """
     key = ["loss_code", "vehicle_make"]
     rows = claims.where("loss_code <> '' AND vehicle_make <> ''")
@@ -28,16 +40,28 @@ def claim_benchmark(claims: DataFrame, least: int = 5, width: float = 1.5) -> Da
         )
         .where(F.col("line_count") >= least)
     )
-    running = W.partitionBy(*key).orderBy("paid_amount").rowsBetween(
+    counted = rows.groupBy(*key, "paid_amount").agg(F.count("*").alias("uses"))
+    sliced = ranked(counted, key, [F.asc("paid_amount")], keep).withColumn(
+        "_slice", F.expr(f"rank div {slice_rows}")
+    )
+    earlier = W.partitionBy(*key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    running = W.partitionBy(*key, "_slice").orderBy("paid_amount").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    middle = (
-        rows.groupBy(*key, "paid_amount")
-        .agg(F.count("*").alias("uses"))
-        .withColumn("upto", F.sum("uses").over(running))
+    # the one or two middle positions of a group lie in these slices, and at these values
+    at_middle = "{upto} >= (line_count + 1) div 2 AND {upto} - {uses} < line_count div 2 + 1"
+    slices = (
+        sliced.groupBy(*key, "_slice")
+        .agg(F.sum("uses").alias("_uses"))
+        .withColumn("_before", F.coalesce(F.sum("_uses").over(earlier), F.lit(0)))
         .join(stats.select(*key, "line_count"), key)
-        # the values at the one or two middle positions
-        .where("upto >= (line_count + 1) div 2 AND upto - uses < line_count div 2 + 1")
+        .where(at_middle.format(upto="(_before + _uses)", uses="_uses"))
+        .select(*key, "_slice", "_before", "line_count")
+    )
+    middle = (
+        sliced.join(slices, [*key, "_slice"])
+        .withColumn("upto", F.col("_before") + F.sum("uses").over(running))
+        .where(at_middle.format(upto="upto", uses="uses"))
         .groupBy(*key)
         .agg(
             F.expr(
@@ -105,10 +129,19 @@ def _labels():
     ]
 
 
-def coverage_summary(rows: DataFrame) -> DataFrame:
+def coverage_dealers(rows: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The dealers of each coverage, a row each, numbered by name; no task holds a coverage's dealers."""
+    pairs = rows.groupBy("coverage_code", "dealer_name").agg(
+        F.count("*").alias("contract_count"), F.expr("max(markup) AS max_markup")
+    )
+    return ranked(pairs, ["coverage_code"], [F.asc("dealer_name")], keep)
+
+
+def coverage_summary(rows: DataFrame, listed: bool = True) -> DataFrame:
     """Per coverage: range of markups, the contract with the highest, and the dealers offering it.
 
-    Dealers are reduced to one row each before they are gathered.
+    Dealers are reduced to one row each first. ``listed`` gathers their names, for display; the table
+    without the list is ``coverage_dealers``.
     """
     top = "struct(contract_no, dealer_name, retail, net)"
     per_dealer = rows.groupBy("coverage_code", "dealer_name").agg(
@@ -131,7 +164,7 @@ def coverage_summary(rows: DataFrame) -> DataFrame:
             F.sum("n").alias("contract_count"),
             F.expr("max_by(top, top_place) AS top"),
             F.count("*").alias("dealer_count"),
-            F.array_sort(F.collect_list("dealer_name")).alias("dealers"),
+            *([F.array_sort(F.collect_list("dealer_name")).alias("dealers")] if listed else []),
         )
         .selectExpr(
             "coverage_code",
@@ -146,7 +179,7 @@ def coverage_summary(rows: DataFrame) -> DataFrame:
             "avg_markup",
             "dealer_count",
             "contract_count",
-            "dealers",
+            *(["dealers"] if listed else []),
         )
     )
 
@@ -197,8 +230,8 @@ def state_vs_nation(rows: DataFrame) -> DataFrame:
 
 def coverage_extremes(rows: DataFrame, limit: int = 5) -> DataFrame:
     """The coverages with the highest markup."""
-    summary = coverage_summary(rows)
-    return numbered_top(summary, ["max_markup DESC", "coverage_code ASC"], limit).drop("dealers")
+    summary = coverage_summary(rows, listed=False)
+    return numbered_top(summary, ["max_markup DESC", "coverage_code ASC"], limit)
 
 
 def zip_exceptions(rows: DataFrame) -> DataFrame:

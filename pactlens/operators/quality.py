@@ -144,13 +144,32 @@ def dealer_profile(raw: DataFrame, dealer_number: str) -> DataFrame:
     )
 
 
-def multi_dealer_contracts(raw: DataFrame) -> DataFrame:
-    """Contract numbers seen under more than one dealer, with documents and dealers."""
+def contract_dealers(raw: DataFrame) -> DataFrame:
+    """Documents of each contract number under each dealer."""
     number = s.business_id("contract_no")
     return (
         raw.where(f"{number} <> ''")
         .groupBy(F.expr(number).alias("contract_number"), "dealer_number_text")
         .agg(F.count("*").alias("documents"))
+    )
+
+
+def multi_dealer_members(raw: DataFrame) -> DataFrame:
+    """The dealers of contract numbers seen under more than one, a row each."""
+    pairs = contract_dealers(raw).where("dealer_number_text IS NOT NULL")
+    several = pairs.groupBy("contract_number").agg(F.count("*").alias("dealers")).where("dealers > 1")
+    return pairs.join(several, "contract_number").select(
+        "contract_number", F.col("dealer_number_text").alias("dealer_number"), "documents", "dealers"
+    )
+
+
+def multi_dealer_contracts(raw: DataFrame) -> DataFrame:
+    """Contract numbers seen under more than one dealer, with documents and dealers.
+
+    The list is for display; ``multi_dealer_members`` is the table without it.
+    """
+    return (
+        contract_dealers(raw)
         .groupBy("contract_number")
         .agg(
             F.sum("documents").alias("documents"),

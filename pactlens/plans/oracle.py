@@ -912,6 +912,9 @@ ORACLE["sub_dealers"] = sql(["dims", "byname"], f"""
     FROM (SELECT v, unnest(related) AS nm FROM dims WHERE dim = 'agent' AND period_id = 'inception') a
     LEFT JOIN byname b ON a.nm = b.nm""")
 
+ORACLE["entity_partners"] = sql(["dims"], """
+    SELECT dim, v AS dim_value, period_id, unnest(related) AS partner FROM dims WHERE dim <> 'product'""")
+
 cte("prod", ["dims"], "SELECT * FROM dims WHERE dim = 'product' AND period_id = 'inception'")
 ORACLE["product_mix"] = sql(["prod"], f"""
     SELECT 'reserve' AS chart, v AS product, {r('net_reserve')} AS amount,
@@ -1353,6 +1356,10 @@ ORACLE["multi_dealer_contracts"] = sql(["ev"], f"""
     SELECT num AS contract_number, {n('count(*)')} AS documents, {n('count(DISTINCT dealer)')} AS dealers,
         array_to_string(list_sort(list(DISTINCT dealer)), '|') AS dealer_list
     FROM ev WHERE num <> '' GROUP BY 1 HAVING count(DISTINCT dealer) > 1""")
+ORACLE["multi_dealer_members"] = sql(["ev"], f"""
+    SELECT num AS contract_number, dealer AS dealer_number, {n('k')} AS documents, {n('dealers')} AS dealers
+    FROM (SELECT num, dealer, count(*) AS k, count(*) OVER (PARTITION BY num) AS dealers
+        FROM ev WHERE num <> '' AND dealer IS NOT NULL GROUP BY 1, 2) WHERE dealers > 1""")
 cte("adm", ["comp"], """
     SELECT key, CAST(sum(amt) FILTER (WHERE (cat = 'ADMIN' AND comp IN ('ADMIN', 'BASEADMIN'))
             OR (cat = 'RESERVE' AND comp = 'ADMIN')) AS DECIMAL(18,2)) AS a,
@@ -1421,6 +1428,9 @@ def per_dealer(source: str) -> str:
 
 
 ORACLE["coverage_summary"] = sql(["mkt"], coverage("mkt", True))
+ORACLE["coverage_dealers"] = sql(["mkt"], f"""
+    SELECT code AS coverage_code, dealer_name, {n('count(*)')} AS contract_count, {r('max(markup)')} AS max_markup,
+        {n('row_number() OVER (PARTITION BY code ORDER BY dealer_name)')} AS rank FROM mkt GROUP BY 1, 2""")
 ORACLE["coverage_state_only"] = sql(["sta"], coverage("sta", False))
 ORACLE["dealer_coverage"] = sql(["mkt"], per_dealer("mkt"))
 ORACLE["dealer_coverage_state_only"] = sql(["sta"], per_dealer("sta"))
@@ -1520,6 +1530,7 @@ for _document, _direct in (("document_contracts", "contract_normalize"), ("docum
 ORACLE["document_contracts_from"] = sql(["rows2"], f"""
     SELECT source_id, {t('activity')} AS activity_date, {r('reserve')} AS reserve_amount
     FROM rows2 WHERE feed = 0 AND eff >= DATE '2000-01-01'""")
+ORACLE["stored_contracts_from"] = ORACLE["document_contracts_from"]
 ORACLE["stored_tables"] = sql(["ev", "craw"], f"""
     SELECT 'contracts' AS name, {n("""count(*) FILTER (WHERE activity IS NOT NULL)
         + count(*) FILTER (WHERE feed = 1 AND activation IS NOT NULL)""")} AS n, {n('0')} AS lost

@@ -289,6 +289,16 @@ def document_contracts_from(r):
     return rows.where("feed = 0").select("source_id", "activity_date", "reserve_amount")
 
 
+@on_report
+def stored_contracts_from(r):
+    """The same from a store by month of activation, where the bound prunes folders."""
+    path = scratch_path(r.spark, "contract-store")
+    writers.write_contract_store(r.contract_documents, path)
+    found = readers.read_contract_store(r.spark, path, r.contract_documents.schema, date(2000, 1, 1))
+    rows = Report(r.spark, r.cfg, found, r.claim_documents, r.audits).contract_rows
+    return rows.where("feed = 0").select("source_id", "activity_date", "reserve_amount")
+
+
 @on_report
 def document_claims(r):
     return claim_normalize(_document_report(r))
@@ -751,7 +761,14 @@ def worst_dealers_snapshot(r):
 
 @on_report
 def sub_dealers(r):
-    return dm.sub_dealers(r.dimension("agent", "inception"), r.dimension("dealer", "inception"))
+    return dm.sub_dealers(
+        r.partners.where("dim = 'agent' AND period_id = 'inception'"), r.dimension("dealer", "inception")
+    )
+
+
+@on_report
+def entity_partners(r):
+    return r.partners
 
 
 @on_report
@@ -1016,6 +1033,11 @@ def multi_dealer_contracts(r):
     return q.multi_dealer_contracts(r.contract_documents)
 
 
+@on_report
+def multi_dealer_members(r):
+    return q.multi_dealer_members(r.contract_documents)
+
+
 @on_report
 def admin_reconciliation(r):
     cells = [("ADMIN", "ADMIN"), ("ADMIN", "BASEADMIN"), ("RESERVE", "ADMIN")]
@@ -1054,12 +1076,12 @@ def _priced(spark, sf_dir):
 
 @on_report
 def claim_benchmark(r):
-    return pr.claim_benchmark(r.claims)
+    return r.benchmark
 
 
 @on_report
 def claim_benchmark_alerts(r):
-    rows = pr.outlier_claims(r.claims, pr.claim_benchmark(r.claims))
+    rows = pr.outlier_claims(r.claims, r.benchmark)
     return rows.groupBy("loss_code").agg(
         F.count("*").alias("line_count"), F.sum("paid_amount").alias("paid")
     )
@@ -1070,6 +1092,12 @@ def coverage_summary(spark, sf_dir):
     return pr.coverage_summary(_priced(spark, sf_dir).where("in_market"))
 
 
+@on_tables
+def coverage_dealers(spark, sf_dir):
+    rows = _priced(spark, sf_dir).where("in_market")
+    return pr.coverage_dealers(rows, lambda df: report(spark, sf_dir).keep(df, "coverage-dealers"))
+
+
 @on_tables
 def dealer_coverage(spark, sf_dir):
     return pr.dealer_coverage(_priced(spark, sf_dir).where("in_market"))
@@ -1077,7 +1105,7 @@ def dealer_coverage(spark, sf_dir):
 
 @on_tables
 def coverage_state_only(spark, sf_dir):
-    return pr.coverage_summary(_priced(spark, sf_dir).where("in_state")).drop("dealers")
+    return pr.coverage_summary(_priced(spark, sf_dir).where("in_state"), listed=False)
 
 
 @on_tables

@@ -18,6 +18,7 @@ from pactlens.operators import dimensions as dm
 from pactlens.operators import losscodes as lc
 from pactlens.operators import metrics as m
 from pactlens.operators import normalize as nz
+from pactlens.operators import pricing as pr
 from pactlens.operators import quality as q
 from pactlens.session import configure, scratch_path
 
@@ -127,9 +128,15 @@ class Report:
     def lookup(self) -> DataFrame:
         return dd.contract_lookup(self.ledger)
 
+    @cached_property
+    def partners(self) -> DataFrame:
+        """Which agents a dealer and which dealers an agent has in a period, a row each."""
+        state = m.ledger_state(self.ledger, ["dealer", "agent"])
+        return self.keep(dm.related_pairs(state, self.dimension_periods), "partners")
+
     def dimension_table(self, dims: list[str]) -> DataFrame:
         return dm.dimension_metrics(
-            self.ledger, self.claims, self.lookup, self.dimension_periods, dims
+            self.ledger, self.claims, self.lookup, self.dimension_periods, dims, partners=self.partners
         )
 
     @cached_property
@@ -151,6 +158,11 @@ class Report:
     def loss_codes(self) -> DataFrame:
         return lc.loss_code_rows(self.claims, self.cfg)
 
+    @cached_property
+    def benchmark(self) -> DataFrame:
+        """Payment statistics per loss code and make."""
+        return pr.claim_benchmark(self.claims, lambda df: self.keep(df, "amounts"))
+
     @cached_property
     def source_counts(self) -> DataFrame:
         return q.source_counts(

@@ -97,6 +97,21 @@ def read_contracts(spark: SparkSession, path: str, activated_from: date | None =
     return df
 
 
+def read_contract_store(
+    spark: SparkSession, path: str, schema: T.StructType, activated_from: date | None = None
+) -> DataFrame:
+    """Documents of ``write_contract_store``: all, or all cancellations and the contracts activated from a day on.
+
+    ``schema`` is that of the documents. Folders of earlier months are not opened.
+    """
+    stored = T.StructType([*schema.fields, T.StructField("activation_day", T.DateType()), T.StructField("activation_month", T.DateType())])
+    df = spark.read.schema(stored).parquet(path)
+    if activated_from is not None:
+        first = sql_date(activated_from)
+        df = df.where(f"feed = 1 OR (activation_month >= trunc({first}, 'MM') AND activation_day >= {first})")
+    return df.select(*schema.names)
+
+
 def read_cancellations(spark: SparkSession, path: str) -> DataFrame:
     return contract_fields(_read_documents(spark, path), 1)
 

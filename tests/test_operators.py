@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 from dataclasses import replace
 from datetime import date
@@ -15,6 +16,7 @@ from pactlens.functions import components as comp
 from pactlens.functions import scalars as s
 from pactlens.operators import dedupe as dd
 from pactlens.operators import dimensions as dm
+from pactlens.operators import pricing as pr
 from pactlens.operators import ranking
 from pactlens.plans.queries import CFG, QUERIES, report
 from pactlens.sources import readers, writers
@@ -333,3 +335,44 @@ def test_ranks_of_groups_over_many_partitions(spark, tmp_path, groups):
         assert kept[0].where("g = 'hot'").select("_part").distinct().count() > 3
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("slice_rows", [1, 7, 4096])
+def test_median_of_a_group_of_many_amounts(spark, tmp_path, slice_rows):
+    rows = spark.range(6_001).selectExpr(
+        "if(id % 3 < 2, 'hot', concat('c', id % 40)) AS loss_code", "if(id % 3 < 2, 'bmw', 'kia') AS vehicle_make",
+        "cast(if(id % 3 < 2, id * 7919 % 5003, id % 2) AS decimal(18,4)) AS paid_amount",
+    )
+    kept = []
+
+    def keep(df):
+        kept.append(str(tmp_path / f"kept-{len(kept)}"))
+        df.write.parquet(kept[-1])
+        return spark.read.parquet(kept[-1])
+
+    found = pr.claim_benchmark(rows, keep, slice_rows=slice_rows)
+    wanted = rows.groupBy("loss_code", "vehicle_make").agg(
+        F.count("*").alias("line_count"), F.expr("median(cast(paid_amount AS double)) AS median_paid")
+    ).where("line_count >= 5")
+    plain = lambda df: sorted(map(tuple, df.select("loss_code", "line_count", "median_paid").collect()))
+    assert plain(found) == plain(wanted)
+    # one sum is never taken over all amounts of the group: windows are over slices of its ranks
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(loss_code#" in plan and "paid_amount" in plan
+    assert not [x for x in plan.split("\n") if "Window [sum(uses" in x and "_slice" not in x]
+
+
+def test_a_bound_on_the_activation_prunes_folders(spark, tmp_path):
+    rows = [(0, "a", "2026-01-31"), (0, "b", "2/1/2026"), (0, "c", "2026-02-14T10:00:00Z"), (0, "d", "14 Mar 2026"),
+            (0, "e", None), (0, "f", "soon"), (1, "g", "2025-05-05"), (1, "h", None)]
+    docs = spark.createDataFrame(rows, "feed int, source_id string, activation string")
+    path = str(tmp_path / "store")
+    writers.write_contract_store(docs.limit(0), path)
+    writers.write_contract_store(docs.where("source_id < 'd'"), path)
+    writers.write_contract_store(docs.where("source_id >= 'd'"), path)
+    stored = lambda bound: readers.read_contract_store(spark, path, docs.schema, bound)
+    assert sorted(map(tuple, stored(None).collect()), key=repr) == sorted(rows, key=repr)
+    found = stored(date(2026, 2, 10))
+    assert sorted(r.source_id for r in found.collect()) == ["c", "d", "g", "h"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*activation_month[^\]]*2026-02-01", plan)
