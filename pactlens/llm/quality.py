@@ -6,10 +6,9 @@ or three letters, else ``und``. Digits count as one symbol and blanks as one; th
 before a text. A text's bytes are scored by the even mixture of its language's model and of one over
 all languages, so that a passage in another language is not taken for noise.
 
-The second is a model of words (ASCII letters in lower case, digits as one) that junk does not teach:
-only documents count in it that pass the base rule and have at most one symbol to ``WORDS_A_SYMBOL``
-words, and a document's own words are taken off before it is scored. A word left with n of the N
-counted has the surprise -ln((n + 0.5) / N).
+The second is a model of words (ASCII letters in lower case, digits as one). Only documents that pass
+the base rule count in it, whatever symbols they hold, and a document's own words are taken off before it
+is scored. A word left with n of the N counted has the surprise -ln((n + 0.5) / N).
 
 No entry of either model is dropped or shares its place: a byte n-gram's key holds its language and
 all its bytes, a word's key is a 64-bit hash. The most frequent entries, ``SLOTS`` of each model at
@@ -18,10 +17,11 @@ its scores and joined by Spark; every key of that join is rarer than those that
 
 A document is rejected if the mean surprise of its bytes is above or below its language's band:
 median plus ``ABOVE`` or minus ``BELOW`` deviations (1.4826 times the median absolute deviation,
-``LEAST_DEVIATION`` at least), or that of its words above ``ABOVE_WORDS`` of their deviations
-(``LEAST_WORD_DEVIATION`` at least), all over the documents of the language that pass the base rule,
-read from exact counts of values in steps of ``STEP``. Means of short texts vary more, so the band of
-a text of n words is wider by the factor sqrt(1 + ``WIDER_BELOW_WORDS`` / n).
+``LEAST_DEVIATION`` at least), or that of its words above or below theirs (``ABOVE_WORDS`` and
+``BELOW_WORDS`` of their deviations, ``LEAST_WORD_DEVIATION`` at least), all over the documents of the
+language that pass the base rule, read from exact counts of values in steps of ``STEP``. Means of short
+texts vary more, so the band of a text of n words is wider by the factor sqrt(1 + ``WIDER_BELOW_WORDS`` / n).
+Means are rounded to nine decimals, so that the order in which Spark adds does not decide.
 
 Rows: null text is empty and fails the base rule; a null doc_id or lang is allowed; repeated rows
 are judged alike; an empty table gives an empty result; other columns are kept or ignored.
@@ -43,9 +43,8 @@ from pactlens.llm import common as c
 
 ORDER = 4
 SLOTS = 2_000_000  # entries of a model that are sent to the executors; the others are joined
-ABOVE, BELOW = 6.0, 8.0
-ABOVE_WORDS = 4.0
-WORDS_A_SYMBOL = 10
+ABOVE, BELOW = 4.0, 8.0
+ABOVE_WORDS, BELOW_WORDS = 4.0, 5.0
 WIDER_BELOW_WORDS = 60
 LEAST_DEVIATION, LEAST_WORD_DEVIATION = 0.02, 0.1
 STEP = 0.005
@@ -259,8 +258,8 @@ def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _teaches(counts: list[np.ndarray]) -> np.ndarray:
     """Whether documents with these base counts count in the model of words."""
-    n_words, _, n_symbols, _, n_repeat = counts
-    return (n_words >= 10) & (100 * n_repeat <= 20 * n_words) & (WORDS_A_SYMBOL * n_symbols <= n_words)
+    n_words, _, _, _, n_repeat = counts
+    return (n_words >= 10) & (100 * n_repeat <= 20 * n_words)
 
 
 def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -457,7 +456,7 @@ BASE_FAILED = "(m.n_words < 10 OR 100 * m.n_repeat_words > 20 * m.n_words)"
 _WIDER = f"sqrt(1 + {WIDER_BELOW_WORDS} / greatest(1, m.n_words))"
 IN_BAND = (
     f"(m.surprise - middle) / (deviation * {_WIDER}) BETWEEN -{BELOW} AND {ABOVE}"
-    f" AND (m.word_surprise - word_middle) / (word_deviation * {_WIDER}) <= {ABOVE_WORDS}"
+    f" AND (m.word_surprise - word_middle) / (word_deviation * {_WIDER}) BETWEEN -{BELOW_WORDS} AND {ABOVE_WORDS}"
 )
 
 
@@ -528,8 +527,8 @@ def _judged(rows: DataFrame, *carried: str, wide: bool = False) -> DataFrame:
     narrow = narrow.select(
         *kept, "language",
         F.expr(
-            f"named_struct({base}, 'surprise', (m.grams + _grams) / greatest(1, m.n_bytes),"
-            " 'word_surprise', (m.words + _words) / greatest(1, m.n_words))"
+            f"named_struct({base}, 'surprise', round((m.grams + _grams) / greatest(1, m.n_bytes), 9),"
+            " 'word_surprise', round((m.words + _words) / greatest(1, m.n_words), 9))"
         ).alias("m"),
     )
     if max(grams.least, words.least) > 1:

@@ -117,6 +117,42 @@ def test_bands_keep_prose_and_reject_noise(spark):
     assert len(kept & set(range(300))) >= 299 and not kept & {1000, 1001, 1002}
 
 
+def test_kept_equals_the_bands_worked_out_plainly(spark):
+    rng = random.Random(4)
+    words = {l: ["".join(rng.choices(a, k=rng.randint(2, 6))) for _ in range(300)] for l, a in (("en", "abcdef"), ("de", "efghij"))}
+    rows = []
+    for i in range(400):
+        lang = rng.choice(["en", "de"])
+        text = rng.choices(words[lang], k=rng.choice([5, 15, 60, 200]))
+        if i % 10 == 0:
+            text = [w + rng.choice(["###", "|", " |", "é"]) for w in text]
+        if i % 35 == 0:
+            text = ["".join(rng.choices("qxyz#|", k=5)) for _ in text]
+        rows.append((i, " ".join(text), lang))
+    df = spark.createDataFrame([*rows, (900, None, "en"), (901, "", None)], "doc_id long, text string, lang string")
+    found = quality.verdicts(df).collect()
+    band = {}
+    for lang in ("en", "de"):
+        own = [r for r in found if r["language"] == lang and not r["base_failed"]]
+        for value, least in (("surprise", quality.LEAST_DEVIATION), ("word_surprise", quality.LEAST_WORD_DEVIATION)):
+            steps = np.array([round(r[value] / quality.STEP) for r in own])
+            middle = np.median(steps)
+            away = np.median(np.abs(steps - middle))
+            band[lang, value] = middle * quality.STEP, max(least, 1.4826 * away * quality.STEP)
+    fell = Counter()
+    for r in found:
+        if r["base_failed"]:
+            assert not r["kept"]
+            continue
+        wider = math.sqrt(1 + quality.WIDER_BELOW_WORDS / r["n_words"])
+        far = {v: (r[v] - band[r["language"], v][0]) / (band[r["language"], v][1] * wider) for v in ("surprise", "word_surprise")}
+        bytes_in = -quality.BELOW <= far["surprise"] <= quality.ABOVE
+        words_in = -quality.BELOW_WORDS <= far["word_surprise"] <= quality.ABOVE_WORDS
+        assert r["kept"] == (bytes_in and words_in), r
+        fell[bytes_in, words_in] += 1
+    assert fell[True, True] > 200 and fell[False, True] + fell[False, False] > 3 and fell[True, False] + fell[False, False] > 3
+
+
 def test_drop_rejected(spark, docs):
     out = quality.drop_rejected(docs)
     assert out.schema == docs.schema
@@ -158,8 +194,8 @@ def test_no_model_entry_is_lost(spark, docs, monkeypatch):
     plain = lambda t: [re.sub(rb"[0-9]", b"0", w.lower()) for w in messy.words(t)]
 
     def teaches(t):
-        n, _, symbols, _, repeated = base_counts(t)
-        return n >= 10 and 100 * repeated <= 20 * n and 10 * symbols <= n
+        n, _, _, _, repeated = base_counts(t)
+        return n >= 10 and 100 * repeated <= 20 * n
 
     known = Counter(w for _, t in rows if teaches(t) for w in plain(t))
     monkeypatch.setattr(quality, "SLOTS", 40)  # the others are joined
