@@ -408,6 +408,7 @@ def measures(spark, grams: Model, words: Model, total: int, text: str, language:
     """Column with the base counts and the summed surprise of bytes and words, as far as their entries
     were sent, and what is asked of the others."""
     arrays = spark.sparkContext.broadcast((grams.sent(), words.sent()))
+    c.give_back()  # what collecting and sorting has left on the driver
 
     @arrow_udf(_MEASURES)
     def measure(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
