@@ -147,7 +147,7 @@ def test_kept_equals_the_bands_worked_out_plainly(spark):
         wider = math.sqrt(1 + quality.WIDER_BELOW_WORDS / r["n_words"])
         far = {v: (r[v] - band[r["language"], v][0]) / (band[r["language"], v][1] * wider) for v in ("surprise", "word_surprise")}
         bytes_in = -quality.BELOW <= far["surprise"] <= quality.ABOVE
-        words_in = -quality.BELOW_WORDS <= far["word_surprise"] <= quality.ABOVE_WORDS
+        words_in = far["word_surprise"] <= quality.ABOVE_WORDS
         assert r["kept"] == (bytes_in and words_in), r
         fell[bytes_in, words_in] += 1
     assert fell[True, True] > 200 and fell[False, True] + fell[False, False] > 3 and fell[True, False] + fell[False, False] > 3
@@ -194,8 +194,8 @@ def test_no_model_entry_is_lost(spark, docs, monkeypatch):
     plain = lambda t: [re.sub(rb"[0-9]", b"0", w.lower()) for w in messy.words(t)]
 
     def teaches(t):
-        n, _, _, _, repeated = base_counts(t)
-        return n >= 10 and 100 * repeated <= 20 * n
+        n, _, symbols, _, repeated = base_counts(t)
+        return n >= 10 and 100 * repeated <= 20 * n and 10 * symbols <= n
 
     known = Counter(w for _, t in rows if teaches(t) for w in plain(t))
     monkeypatch.setattr(quality, "SLOTS", 40)  # the others are joined
