@@ -2,6 +2,10 @@
 
 from pathlib import Path
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from pactlens.operators import dedupe as dd
 from pactlens.sources import documents, mapping as mp, readers
 
 SF = "/root/testdata/sf0.001"
@@ -26,3 +30,46 @@ def test_documents_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch)
         assert max(spark.read.text(str(f)).count() for f in files) <= 100
         back = read(spark, f"{tmp_path}/{name}").select("source_id", "ingest_ord")
         assert sorted(back.collect()) == sorted(one.select("source_id", "ingest_ord").collect())
+
+
+def _shared_name(spark, n):
+    """``n`` dealers of one name with a row each by code and by name, and odd ones."""
+    keys = [(f"D{i}", k) for i in range(n) for k in (f"D{i}", "SHARED")]
+    keys += [("Shared", "SHARED"), ("Shared", "D3"), ("X", "X"), ("X", "Y"), ("X", "Z")]
+    rows = [(f"d{i} ", "Shared", f"g{i % 2}", i) for i in range(n)]
+    rows += [("SHARED", "d3", "g0", 100), ("x", " x", "g0", 7), ("y", "z", "g1", 9), (None, "Y", "g1", 11),
+             ("Z", None, None, 13), ("nobody", "", "g0", 15), ("d4", "d5", "g1", 17)]
+    return (
+        spark.createDataFrame([("dealer", *k) for k in keys], "dim string, entity string, key string"),
+        spark.createDataFrame(rows, "code string, name string, g string, v bigint"),
+    )
+
+
+def test_entity_sums_equal_sums_of_entity_rows(spark):
+    keys, rows = _shared_name(spark, 8)
+    expected = dd.entity_rows(rows, keys, "dealer", "code", "name").groupBy("entity", "g").agg(
+        F.sum("v").alias("v"), F.min("v").alias("first")
+    )
+    found = dd.entity_sums(
+        rows.withColumn("first", F.col("v")), keys, "dealer", "code", "name", ["g"], ["v"], ["first"]
+    )
+    key = lambda r: (r.entity, r.g or "", r.v, r["first"])
+    columns = ["entity", "g", "v", "first"]
+    assert sorted(found.select(columns).collect(), key=key) == sorted(expected.select(columns).collect(), key=key)
+
+
+def test_entity_sums_do_not_repeat_the_rows_of_a_shared_name(spark, monkeypatch):
+    """Rows that meet entities grow with the entities, not with their square."""
+    met = {}
+    for n in (40, 80):
+        keys, rows = _shared_name(spark, n)
+        seen, union = Observation(), type(rows).unionByName
+
+        def counted(self, *args, **kwargs):
+            return union(self, *args, **kwargs).observe(seen, F.count(F.lit(1)).alias("n"))
+
+        with monkeypatch.context() as patched:
+            patched.setattr(type(rows), "unionByName", counted)
+            dd.entity_sums(rows, keys, "dealer", "code", "name", ["g"], ["v"]).collect()
+        met[n] = seen.get["n"]
+    assert met[80] < 2.2 * met[40]
