@@ -6,6 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from pactlens.operators import dedupe as dd
+from pactlens.plans import queries as Q
 from pactlens.sources import documents, mapping as mp, readers
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +74,12 @@ def test_entity_sums_do_not_repeat_the_rows_of_a_shared_name(spark, monkeypatch)
             dd.entity_sums(rows, keys, "dealer", "code", "name", ["g"], ["v"]).collect()
         met[n] = seen.get["n"]
     assert met[80] < 2.2 * met[40]
+
+
+def test_lost_rows_are_counted_by_short_keys(spark):
+    make = lambda rows: spark.createDataFrame(rows, "a string, m map<string,int>")
+    one, two = ("x" * 5000, {"k": 1}), ("y" * 5000, None)
+    before, back = make([one, one, two]), make([one, two, two])
+    assert Q._lost(before, back).collect() == [(1,)]
+    assert Q._lost(before, before).collect() == [(0,)] and Q._lost(before, make([])).collect() == [(3,)]
+    assert {len(r.row) for r in Q._row_keys(before, before.columns).collect()} == {32}
