@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pactlens.operators import dedupe as dd
 from pactlens.plans import queries as Q
+from pactlens.plans.report import Report
 from pactlens.sources import documents, mapping as mp, readers
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +84,10 @@ def test_lost_rows_are_counted_by_short_keys(spark):
     assert Q._lost(before, back).collect() == [(1,)]
     assert Q._lost(before, before).collect() == [(0,)] and Q._lost(before, make([])).collect() == [(3,)]
     assert {len(r.row) for r in Q._row_keys(before, before.columns).collect()} == {32}
+
+
+def test_metrics_are_computed_once_for_all_their_writers(spark):
+    rep = Report(spark, mp.CONFIG, mp.contract_documents(spark, SF), mp.claim_documents(spark, SF))
+    plan = rep.metrics.where("horizon <> 'month'")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    assert rep.metrics.count() == 32
