@@ -1,11 +1,14 @@
 """Sizes of what the steps write and hold, on small input."""
 
+import random
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from pactlens.operators import dedupe as dd
+from pactlens.operators import normalize as nz
 from pactlens.plans import queries as Q
 from pactlens.plans.report import Report
 from pactlens.sources import documents, mapping as mp, readers
@@ -91,3 +94,67 @@ def test_metrics_are_computed_once_for_all_their_writers(spark):
     plan = rep.metrics.where("horizon <> 'month'")._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan and "Join" not in plan
     assert rep.metrics.count() == 32
+
+
+def _payment_lines(spark):
+    rng = random.Random(3)
+    rows, order = [], list(range(300))
+    rng.shuffle(order)
+    for i in order:
+        key = rng.choice(["hot", "hot", "a", "b", "", None])
+        rows.append((key, f"s{i}", i, datetime(2001, 1, 1 + rng.randrange(4)), i * 7 % 11))
+    return spark.createDataFrame(rows, "payment_key string, source_id string, ingest_ord bigint, snapshot_ts timestamp, v int")
+
+
+def test_payments_are_the_same_however_their_keys_are_numbered(spark):
+    lines = _payment_lines(spark)
+    expected, seen = {}, {}
+    for r in sorted(lines.collect(), key=lambda r: r.ingest_ord):
+        key = r.payment_key or r.source_id
+        n = seen[(key, r.snapshot_ts)] = seen.get((key, r.snapshot_ts), 0) + 1
+        last, place = expected.get((key, n), (r, r.ingest_ord))
+        expected[(key, n)] = max(last, r, key=lambda x: (x.snapshot_ts, x.ingest_ord)), place
+    expected = sorted((r.source_id, r.v, n, place) for (_, n), (r, place) in expected.items())
+    for width in (1, 20, 1_000_000):
+        found = dd.dedupe_claims(lines, width).select("source_id", "v", "occurrence", "place")
+        assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_payment_lines_are_shuffled_once(spark, tmp_path):
+    """One exchange moves the lines; none is left of what is done for hot shares, as there are none."""
+    _payment_lines(spark).write.parquet(f"{tmp_path}/lines")
+    found = dd.dedupe_claims(spark.read.parquet(f"{tmp_path}/lines"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    moved = [x for x in final.splitlines() if "Exchange hashpartitioning(" in x]
+    assert len(moved) == 1 and "_key" in moved[0]
+
+
+def test_base_tables_are_written_once_and_read_by_columns(spark, tmp_path):
+    rep = Report(spark, mp.CONFIG, mp.contract_documents(spark, SF), mp.claim_documents(spark, SF))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    rep.transactions, rep.claims
+    made = [p for p in shared.iterdir() if p.name not in before]
+    assert sorted(p.name.rsplit("-", 1)[0] for p in made) == ["claim-documents", "claims", "contract-documents", "ledger"]
+    assert all(f.name.endswith(".zstd.parquet") for p in made for f in _files(p))
+    days = rep.transactions.select("activity_date")._jdf.queryExecution().executedPlan().toString()
+    assert "activity_date" in days and "earning_schedule" not in days and "components" not in days
+
+
+def test_a_task_of_compressed_rows_is_bounded(spark):
+    get = lambda k: spark.conf.get(k)
+    assert get("spark.sql.files.maxPartitionBytes") == "16m"
+    assert int(get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 400
+
+
+def test_an_unused_document_with_an_amount_too_large_is_no_error(spark):
+    """Undated and test documents give no rows, so their amounts and curves are not read."""
+    huge = "map('ADMIN', map('BASEADMIN', '123456789012345'))"
+    docs = mp.contract_documents(spark, SF).limit(2).withColumn("written", F.expr(huge)).withColumn("cancelled", F.expr(huge))
+    undated = docs.withColumn("activation", F.lit("")).withColumn("cancel_bill", F.lit(""))
+    test = docs.withColumn("agent_text", F.lit("Test Agent"))
+    for some in (undated, test):
+        assert nz.normalize_contracts(nz.evaluate_contracts(some), mp.CONFIG).count() == 0
+        assert nz.parsed_contracts(nz.evaluate_contracts(some), mp.CONFIG).select("source_id", "own").collect()
