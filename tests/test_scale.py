@@ -145,7 +145,7 @@ def test_base_tables_are_written_once_and_read_by_columns(spark, tmp_path):
 
 def test_a_task_of_compressed_rows_is_bounded(spark):
     get = lambda k: spark.conf.get(k)
-    assert get("spark.sql.files.maxPartitionBytes") == "16m"
+    assert get("spark.sql.files.maxPartitionBytes") == "16m" and get("spark.sql.files.openCostInBytes") == "512k"
     assert int(get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 400
 
 
