@@ -486,6 +486,22 @@ def test_ids_are_those_of_the_tokenizer_file():
     assert expected[0] == [518, 806, 49407, 1572]
 
 
+def test_plain_words_are_encoded_by_their_pieces():
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(tokens.default_tokenizer())
+    words = tokens.WordTokens(tokens.default_tokenizer())
+    rng = random.Random(9)
+    stems = ["House", "caf\xe9", "\xd6l", "it's", "3\xd75", "''ll", "</w>", "\u4e2d\u6587", "e\u0301", "\u0130", "<|endoftext|>", "\x1c", "\xff"]
+    texts = [" ".join("".join(rng.choices([*stems, "A", "9", "!", "$$"], k=3)) for _ in range(5)) for _ in range(400)]
+    found = words.ids([t.encode() for t in texts])
+    assert [np.frombuffer(x, np.uint32).tolist() for x in found] == [made.encode(t, add_special_tokens=False).ids for t in texts]
+    # words that differ in case and signs alone have their pieces in common
+    few = tokens.WordTokens(tokens.default_tokenizer())
+    few.ids([f"{w}{sign}".encode() for w in ("tree", "Tree", "TREE") for sign in ("", ".", ",", "!")])
+    assert set(few.pieces) == {"tree", ".", ",", "!"} and len(few.known) == 12
+
+
 def test_packed_pieces(spark, docs):
     rows = packing.packed_pieces(docs, capacity=256, open_bins=4, with_ids=True).collect()
     got = Counter()
