@@ -158,3 +158,30 @@ def test_an_unused_document_with_an_amount_too_large_is_no_error(spark):
     for some in (undated, test):
         assert nz.normalize_contracts(nz.evaluate_contracts(some), mp.CONFIG).count() == 0
         assert nz.parsed_contracts(nz.evaluate_contracts(some), mp.CONFIG).select("source_id", "own").collect()
+
+
+def test_a_text_of_a_document_is_looked_up_once(spark, tmp_path):
+    """Unwrapping looks at a text several times; the document is asked for it once."""
+    rows = mp.contract_documents(spark, SF).where("feed = 0").limit(5)
+    documents.write_contract_documents(rows, f"{tmp_path}/contracts")
+    back = readers.read_contracts(spark, f"{tmp_path}/contracts")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("$.metadata.DealerName") == 1
+    curves = {r["source_id"]: r["earning_curve"] for r in back.collect()}
+    assert curves == {r["source_id"]: r["earning_curve"] for r in rows.collect()}
+
+
+def test_curves_with_other_spellings_are_read_whole(spark, tmp_path):
+    curve = (
+        '{"CalculatedFields": {"EarningCurve": {"schedule": {"1": {"cumulativeFactor": 0.25},'
+        ' "x": {"cumulativeFactor": 1}, "02": {"cumulativeFactor": "50 %"}, "3": {"cumulativeFactor": true}, "4": 7,'
+        ' "5": {"cumulativeFactor": {"$numberDouble": "0.7"}}}}}}'
+    )
+    (tmp_path / "odd.json").write_text(curve)
+    read = readers.read_contracts(spark, str(tmp_path)).first()["earning_curve"]
+    assert read == {1: 0.25, 2: 50.0, 3: 0.0, 4: 0.0, 5: 0.7}
+
+
+def test_sample_curves_are_constants(spark):
+    plan = mp.contract_documents(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(1" not in plan
