@@ -2,12 +2,15 @@
 
 import random
 from datetime import datetime
+from decimal import Decimal
 from pathlib import Path
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from pactlens.operators import dedupe as dd
+from pactlens.operators import dimensions as dm
 from pactlens.operators import normalize as nz
 from pactlens.plans import queries as Q
 from pactlens.plans.report import Report
@@ -185,3 +188,53 @@ def test_curves_with_other_spellings_are_read_whole(spark, tmp_path):
 def test_sample_curves_are_constants(spark):
     plan = mp.contract_documents(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(1" not in plan
+
+
+def _entity_feeds(spark, n, seed):
+    """Keys of ``n`` dealers of few names, a ledger whose sides may stand under other dealers, and claims on it."""
+    pick = random.Random(seed).choice
+    names = ["SHARED", "OTHER"]
+    keys = {(f"D{i}", k) for i in range(n) for k in (f"D{i}", names[i % 2])}
+    keys |= {(x.title(), k) for i, x in enumerate(names) for k in (x, f"D{i}")}
+    some = lambda: pick([f"d{pick(range(n))}", pick(names), "nobody", ""])
+    side = lambda kind: (some(), pick(names + [""]), pick("PQR") if pick([1, 1, 0]) else "", kind)
+    ledger = [
+        (pick(["", f"C{i}"]), side("NewBusiness") if pick([1, 1, 0]) else None, side("Cancellation") if pick([1, 0]) else None,
+         i, pick([i - 1, i + 1]))
+        for i in range(4 * n)
+    ]
+    claims = [
+        (f"C{pick(range(5 * n))}" if pick([1, 1, 0]) else "", some(), pick(names + [""]), pick(["P", "S", ""]), pick([5, 7, -5, 0]))
+        for _ in range(12 * n)
+    ]
+    one = "struct<dealer_number:string,dealer_name:string,product:string,transaction_type:string>"
+    sides = f"contract_number string, w {one}, k {one}, w_place bigint, k_place bigint"
+    lines = "contract_number string, dealer string, dealer_name string, product string, paid_amount decimal(18,4)"
+    return (
+        spark.createDataFrame([("dealer", *k) for k in sorted(keys)], "dim string, entity string, key string"),
+        spark.createDataFrame(ledger, sides),
+        spark.createDataFrame([(*c[:4], Decimal(c[4])) for c in claims], lines),
+    )
+
+
+@pytest.mark.parametrize("skip", [True, False])
+def test_claim_products_by_sums_equal_those_of_entity_rows(spark, skip):
+    keys, ledger, claims = _entity_feeds(spark, 6, 3)
+    rows = ledger.selectExpr("contract_number", "inline(filter(array("
+        "if(w IS NULL, NULL, struct(w.*, w_place AS place)), if(k IS NULL, NULL, struct(k.*, k_place AS place))),"
+        " x -> x IS NOT NULL))")
+    mine = dd.entity_rows(rows, keys, "dealer", "dealer_number", "dealer_name")
+    lines = dd.entity_rows(claims, keys, "dealer", "dealer", "dealer_name")
+    expected = dm.claim_products(lines, mine, ["entity"], skip).groupBy(
+        "entity", F.col("claim_product").alias("product")
+    ).agg(F.sum("paid_amount").alias("claims_paid"))
+    found = dd.entity_claim_products(
+        claims, ledger, keys, "dealer", "dealer", "dealer_name", "dealer_number", skip
+    )
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_product_figures_do_not_repeat_the_rows_of_a_shared_name(spark, monkeypatch):
+    monkeypatch.setattr(dd, "entity_rows", None)
+    for name in ("product_buckets", "target_summary"):
+        assert Q.QUERIES[name](spark, SF).count()
